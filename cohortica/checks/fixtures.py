@@ -6,6 +6,8 @@ rows. Literals such as ``1e1`` keep both engines in double precision.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -95,13 +97,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table or one of the derived inputs."""
     if name in TABLES:
         return table(spark, sf_dir, name)
-    text = FIXTURES[name]
-    words = set(text.replace(",", " ").split())
-    used = {t: table(spark, sf_dir, t) for t in TABLES if t in words}
-    for t in used:
-        text = text.replace(f"from {t} ", f"from {{{t}}} as {t} ").replace(
-            f"join {t} ", f"join {{{t}}} as {t} "
-        )
+    used: dict[str, DataFrame] = {}
+
+    def bind(match: re.Match) -> str:
+        used[match[2]] = table(spark, sf_dir, match[2])
+        return f"{match[1]} {{{match[2]}}} as {match[2]}"
+
+    text = re.sub(rf"\b(from|join)\s+({'|'.join(TABLES)})\b", bind, FIXTURES[name])
     return spark.sql(text, **used)
 
 
