@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from cohortica.checks import customers, tables  # noqa: F401
+from cohortica.checks import customers, features, recommend, tables  # noqa: F401
 from cohortica.checks.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

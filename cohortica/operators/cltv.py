@@ -150,7 +150,7 @@ def _minimize(
         gain = f[0] - values[best]
         if gain > 0:
             theta = tries[best]
-        if gain < 1e-9:
+        if gain < 1e-6:
             break
     return theta
 
@@ -164,23 +164,19 @@ def _fit(
 ) -> np.ndarray:
     """Parameters with the least mean negative log-likelihood plus the L2 penalty."""
     total = histories.agg(F.sum("n")).first()[0]
+    one = loglik({k: F.col("p")[i] for i, k in enumerate(names)}) * F.col("n")
 
     def evaluate(thetas: np.ndarray) -> np.ndarray:
-        points = F.array(
-            *[
-                F.struct(F.lit(i).alias("i"), *[F.lit(float(v)).alias(k) for k, v in zip(names, p)])
-                for i, p in enumerate(np.exp(thetas))
-            ]
-        )
-        one = loglik({k: F.col(f"p.{k}") for k in names})
+        params = np.exp(thetas)
+        points = ", ".join(f"array({', '.join(f'{v!r}D' for v in p)})" for p in params.tolist())
         sums = dict(
-            histories.withColumn("p", F.explode(points))
-            .groupBy("p.i")
-            .agg(F.sum(one * F.col("n")))
+            histories.select("*", F.posexplode(F.expr(f"array({points})")).alias("i", "p"))
+            .groupBy("i")
+            .agg(F.sum(one))
             .collect()
         )
         fits = np.array([sums[i] if sums[i] is not None else -np.inf for i in range(len(thetas))])
-        return -fits / total + penalizer * (np.exp(thetas) ** 2).sum(axis=1)
+        return -fits / total + penalizer * (params**2).sum(axis=1)
 
     return np.exp(_minimize(evaluate, np.log(np.array(start, dtype=float))))
 
