@@ -424,15 +424,15 @@ _PICK = {
     "q_regression_impute",
     INSULIN_CORR
     + f", x as (select id, insulin as y, {_PICK[1]} as u, {_PICK[2]} as v, "
-    "(select count(*) from feats where r <= 2) = 2 as both from h), "
+    "(select count(*) from feats where r <= 2) = 2 as usable from h), "
     "s as (select avg(y) as my, avg(u) as mu, avg(v) as mv, var_pop(u) as uu, var_pop(v) as vv, "
     "covar_pop(u, v) as uv, covar_pop(u, y) as uy, covar_pop(v, y) as vy from x "
     "where y is not null and u is not null and v is not null), "
     "b as (select *, (uy * vv - vy * uv) / (uu * vv - uv * uv) as b1, "
     "(vy * uu - uy * uv) / (uu * vv - uv * uv) as b2 from s), "
-    "f as (select id, both, coalesce(y, case when both then my + b1 * (u - mu) + b2 * (v - mv) "
+    "f as (select id, usable, coalesce(y, case when usable then my + b1 * (u - mu) + b2 * (v - mv) "
     "end) as y from x, b), m as (select quantile_cont(y, 0.5) as med from f) "
-    "select id, case when both then greatest(coalesce(y, med), 0) else coalesce(y, med) end "
+    "select id, case when usable then greatest(coalesce(y, med), 0) else coalesce(y, med) end "
     "as insulin from f, m",
     {"insulin": 6},
 )
@@ -898,3 +898,76 @@ def box_stats(spark, sf):
     return profile.box_stats(table(spark, sf, "orders"), _BOX)
 
 
+
+
+def _mode_sql(col: str) -> str:
+    return (
+        f"(select {col} from g where {col} is not null group by {col} "
+        f"order by count(*) desc, {col} limit 1)"
+    )
+
+
+def _levels_sql(out: str, col: str, levels) -> str:
+    return ", ".join(
+        f"case when {col} = {x!r} then 1 else 0 end as \"{out}_{x}\"" for x in levels
+    )
+
+
+def _scaled_sql(col: str) -> str:
+    return f"({col} - avg({col}) over ()) / stddev_pop({col}) over ()"
+
+
+# The columns are those that the data of the checked scale factor has levels for.
+FEATURE_TABLE = (
+    PEOPLE.rstrip()
+    + ", q as (select quantile_cont(age::double, [0.05, 0.95]) as a, "
+    "quantile_cont(fare::double, [0.05, 0.95]) as f from fx_people), "
+    "fence as (select a[1] - 15e-1 * (a[2] - a[1]) as al, a[2] + 15e-1 * (a[2] - a[1]) as au, "
+    "f[1] - 15e-1 * (f[2] - f[1]) as fl, f[2] + 15e-1 * (f[2] - f[1]) as fu from q), "
+    "d as (select * replace (case when age < al then al when age > au then au else age end as age, "
+    "case when fare < fl then fl when fare > fu then fu else fare end as fare), "
+    "nullif(regexp_extract(name, '([A-Za-z]+)\\.', 1), '') as title from fx_people, fence), "
+    "m as (select title, quantile_cont(age, 0.5) as med from d where title is not null "
+    "group by title), "
+    "e as (select d.* replace (coalesce(age, med) as age) from d left join m on d.title = m.title), "
+    "g as (select *, age * pclass as age_pclass, case when age <= 18 then 'young' "
+    "when age <= 56 then 'mature' when age is not null then 'senior' end as age_cat, "
+    "case when age <= 18 then 'young' when age <= 56 then 'mature' when age is not null "
+    "then 'senior' end || sex as sex_cat from e), "
+    f"h as (select * replace (coalesce(embarked, {_mode_sql('embarked')}) as embarked, "
+    f"coalesce(title, {_mode_sql('title')}) as title, "
+    f"coalesce(age_cat, {_mode_sql('age_cat')}) as age_cat, "
+    f"coalesce(sex_cat, {_mode_sql('sex_cat')}) as sex_cat) from g) "
+    f'select id as "ID", {_scaled_sql("age")} as "AGE", '
+    'case when sex = \'male\' then 1 else 0 end as "SEX", '
+    f'{_scaled_sql("fare")} as "FARE", survived as "SURVIVED", '
+    'case when cabin is null then 0 else 1 end as "NEW_CABIN_BOOL", '
+    "len(string_split(name, ' ')) as \"NEW_NAME_WORD_COUNT\", "
+    "case when contains(name, ' Dr') then 1 else 0 end as \"NEW_NAME_DR\", "
+    'case when sibsp + parch = 0 then 1 else 0 end as "NEW_IS_ALONE", '
+    f'{_scaled_sql("age_pclass")} as "NEW_AGE_PCLASS", '
+    "case when age_cat = 'senior' then 1 else 0 end as \"NEW_AGE_CAT\", "
+    + ", ".join(
+        [
+            _levels_sql("EMBARKED", "embarked", _SEGMENTS[1:]),
+            _levels_sql("NEW_TITLE", "title", ["Mr", "Mrs"]),
+            _levels_sql("NEW_SEX_CAT", "sex_cat", ["maturemale", "seniorfemale", "seniormale"]),
+            _levels_sql("PCLASS", "pclass", [2, 3]),
+            _levels_sql("SIBSP", "sibsp", [1, 2, 3]),
+            _levels_sql("PARCH", "parch", [1, 2]),
+            _levels_sql("NEW_NAME_COUNT", "length(name)", [27, 28]),
+            _levels_sql("NEW_FAMILY_SIZE", "(sibsp + parch + 1)", [2, 3, 4, 5, 6]),
+        ]
+    )
+    + " from h"
+)
+
+
+@query("q_feature_table", FEATURE_TABLE, {"AGE": 6, "FARE": 6, "NEW_AGE_PCLASS": 6})
+def feature_table(spark, sf):
+    return features.feature_table(people(spark, sf))
+
+
+@query("q_feature_model")
+def feature_model(spark, sf):
+    return features.judge(features.feature_table(people(spark, sf)), "ID", "SURVIVED", trees=20)
