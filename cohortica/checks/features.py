@@ -463,7 +463,7 @@ def label_encode(spark, sf):
 @query("q_label_decode", PEOPLE + "select id, embarked from fx_people")
 def label_decode(spark, sf):
     df = people(spark, sf)
-    levels = encode.levels_of(df, "embarked")
+    levels = encode.levels_of(df, ["embarked"])["embarked"]
     coded = encode.label_encode(df, "embarked", "code")
     return encode.label_decode(coded, "code", levels, "embarked").select("id", "embarked")
 

@@ -17,6 +17,16 @@ def col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def approx_distinct(c: ColumnLike) -> Column:
+    """Aggregate: about how many distinct non-null values, within a few percent.
+
+    One small sketch per column, merged map-side; cheaper to plan for many columns at a time than
+    ``approx_count_distinct``.
+    """
+    hashed = F.when(col(c).isNotNull(), F.xxhash64(col(c)))
+    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(hashed)), F.lit(0))
+
+
 # Text, numbers and time
 
 

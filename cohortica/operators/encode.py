@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,20 +51,35 @@ def label_decode(df: DataFrame, code: str, levels: Sequence, out: str) -> DataFr
     return df.withColumn(out, F.try_element_at(known, F.col(code).cast("int") + 1))
 
 
-def levels_of(df: DataFrame, col: str, limit: int = MANY_LEVELS) -> list:
-    found = _levels(df, col, limit)
-    if found is None:
-        raise ValueError(f"{col} has more than {limit} levels")
+def levels_of(df: DataFrame, cols: Sequence[str], limit: int = MANY_LEVELS) -> dict[str, list]:
+    """Sorted non-null levels of each column, as text, in one pass; an error above the limit."""
+    most = limit * len(cols)
+    cells = melt(df, cols).where(F.col("value").isNotNull()).distinct().limit(most + 1).collect()
+    found: dict[str, list[str]] = {c: [] for c in cols}
+    for variable, value in cells:
+        found[variable].append(value)
+    texts = string_columns(df)
+    for c, levels in found.items():
+        if len(cells) > most or len(levels) > limit:
+            raise ValueError(f"one of {list(cols)} has more than {limit} levels")
+        levels.sort(key=(lambda x: x) if c in texts else _as_number)
     return found
 
 
-def binary_columns(df: DataFrame) -> list[str]:
+def _as_number(level: str) -> tuple[float, str]:
+    try:
+        return float(level), level
+    except ValueError:
+        return 0.0, level
+
+
+def binary_columns(df: DataFrame, distinct: Mapping[str, int] | None = None) -> list[str]:
     """Columns that are neither integer nor floating point and have two values."""
     numbers = ("tinyint", "smallint", "int", "bigint", "float", "double")
     other = [c for c, t in df.dtypes if t not in numbers]
     if not other:
         return []
-    distinct = distinct_counts(df, other, 3)
+    distinct = distinct or distinct_counts(df, other, 3)
     return [c for c in other if distinct[c] == 2]
 
 
@@ -81,10 +96,11 @@ def one_hot(
     are an error: they would make the table wider than anyone wants.
     """
     added: list[Column] = []
+    types = dict(df.dtypes)
+    levels = levels_of(df, cols, max_levels) if cols else {}
     for c in cols:
-        levels = levels_of(df, c, max_levels)
         hits = [
-            (str(x), F.coalesce(F.col(c) == F.lit(x), F.lit(False))) for x in levels
+            (x, F.coalesce(F.col(c) == F.lit(x).cast(types[c]), F.lit(False))) for x in levels[c]
         ]
         if dummy_na:
             hits.append(("nan", F.col(c).isNull()))
@@ -125,9 +141,14 @@ def rare_encode(df: DataFrame, cols: Sequence[str] | None, share: float) -> Data
     )
 
 
-def useless_columns(df: DataFrame, share: float = 0.01) -> list[str]:
-    """Columns with two values of which one is held by less than ``share`` of all rows."""
-    distinct = distinct_counts(df, df.columns, 3)
+def useless_columns(
+    df: DataFrame, share: float = 0.01, distinct: Mapping[str, int] | None = None
+) -> list[str]:
+    """Columns with two values of which one is held by less than ``share`` of all rows.
+
+    Distinct counts that are known already can be given.
+    """
+    distinct = distinct or distinct_counts(df, df.columns, 3)
     two = [c for c in df.columns if distinct[c] == 2]
     if not two:
         return []

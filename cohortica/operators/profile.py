@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from cohortica.functions.columns import approx_distinct
 from cohortica.operators.quantiles import exact_quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -47,14 +48,18 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, StringType)]
 
 
-def melt(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), kind: str = "string"):
+def melt(
+    df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), kind: str = "string"
+) -> DataFrame:
     """One row per (row, column): ``variable``, ``value`` and the columns in ``keep``."""
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("variable"), F.col(f"`{c}`").cast(kind).alias("value"))
-            for c in cols
-        ]
-    )
+    types = dict(df.dtypes)
+
+    def cell(c: str) -> Column:
+        # Adding 0.0 turns -0.0 into 0.0, which are two texts but one number.
+        x = F.col(f"`{c}`") + F.lit(0.0) if types[c] == "double" else F.col(f"`{c}`")
+        return F.struct(F.lit(c).alias("variable"), x.cast(kind).alias("value"))
+
+    cells = F.array(*[cell(c) for c in cols])
     return df.select(*keep, F.explode(cells).alias("_cell")).select(
         *keep, "_cell.variable", "_cell.value"
     )
@@ -120,7 +125,7 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], settle_below: int) -> di
     exactly, so no wide column is ever shuffled.
     """
     row = df.agg(
-        *[F.approx_count_distinct(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)]
+        *[approx_distinct(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)]
     ).first()
     found = {c: row[f"c{i}"] for i, c in enumerate(cols)}
     narrow = [c for c in cols if found[c] < 4 * settle_below]

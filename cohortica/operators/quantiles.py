@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortica.functions.columns import approx_distinct
 from cohortica.session import settle
 
 # Most distinct values of one bracket that may come to the driver.
@@ -62,7 +63,7 @@ def exact_quantiles(
     row = df.agg(
         *[F.count(t.value()).alias(f"n{i}") for i, t in enumerate(targets[:: len(probs)])],
         *[
-            F.approx_count_distinct(t.value()).alias(f"d{i}")
+            approx_distinct(t.value()).alias(f"d{i}")
             for i, t in enumerate(targets[:: len(probs)])
         ],
     ).first()
@@ -103,7 +104,7 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> None:
     counts = df.agg(
         *[F.count_if(t.value() < F.lit(t.low)).alias(f"b{i}") for i, t in enumerate(tried)],
         *[F.count(t.within()).alias(f"i{i}") for i, t in enumerate(tried)],
-        *[F.approx_count_distinct(t.within()).alias(f"d{i}") for i, t in enumerate(tried)],
+        *[approx_distinct(t.within()).alias(f"d{i}") for i, t in enumerate(tried)],
     ).first()
     for i, (old, new) in enumerate(zip(targets, tried)):
         below, inside, distinct = counts[f"b{i}"], counts[f"i{i}"], counts[f"d{i}"]

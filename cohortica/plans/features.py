@@ -79,9 +79,10 @@ def feature_table(
     counts = grab_col_names(df).distinct
     many = [x for x in roles.categorical if x in df.columns and x != target and counts[x] > 2]
     df = settle(one_hot(df, many, drop_first=True))
-    df = df.drop(*[x for x in useless_columns(df) if x not in (key, target)])
-    numbers = [x for x in grab_col_names(df).numeric if x not in (key, target)]
-    return standard_scale(df, numbers)
+    roles = grab_col_names(df)
+    useless = [x for x in useless_columns(df, distinct=roles.distinct) if x not in (key, target)]
+    numbers = [x for x in roles.numeric if x not in (key, target)]
+    return standard_scale(df.drop(*useless), numbers)
 
 
 def judge(df: DataFrame, key: str, target: str, trees: int = 100, seed: int = 42) -> DataFrame:
