@@ -355,10 +355,15 @@ def expected_sql(source: str, t: str) -> str:
 )
 def expected_purchases(spark, sf):
     x, tx, t = F.col("frequency"), F.col("recency"), F.col("tenure")
-    return cltv_base(spark, sf).select(
-        "customer_id",
-        cltv.expected_purchases(PURCHASES, 12, x, tx, t).alias("in_12_weeks"),
-        cltv.expected_purchases(PURCHASES, 24, x, tx, t).alias("in_24_weeks"),
+    ahead = cltv.expected_purchases(PURCHASES, [12, 24], x, tx, t)
+    return (
+        cltv_base(spark, sf)
+        .withColumn("ahead", ahead)
+        .select(
+            "customer_id",
+            F.col("ahead")[0].alias("in_12_weeks"),
+            F.col("ahead")[1].alias("in_24_weeks"),
+        )
     )
 
 

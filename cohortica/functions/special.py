@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 from statistics import NormalDist
+from types import SimpleNamespace
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,17 +48,39 @@ TAIL_BOTTOM = (
 TAIL_FROM = 0.02425
 
 
-def lgamma(z: Column) -> Column:
-    """ln Gamma for z > 0: shifted up by 8, then Stirling's series."""
-    w = z + 8
-    product = z
-    for i in range(1, 8):
-        product = product * (z + i)
-    series = F.lit(0.0)
-    for term in reversed(STIRLING):
-        series = series / (w * w) + F.lit(term)
-    half_log_two_pi = F.lit(0.5 * math.log(2 * math.pi))
-    return (w - 0.5) * F.log(w) - w + half_log_two_pi + series / w - F.log(product)
+def _stirling(z, log):
+    """ln Gamma for z > 0, from operations that columns and arrays share: z is shifted up by 8."""
+    w = z + 8.0
+    y = z * (z + 7.0)
+    shifted = y * (y + 6.0) * (y + 10.0) * (y + 12.0)  # z (z + 1) ... (z + 7)
+    series = STIRLING[-1] / (w * w)
+    for term in reversed(STIRLING[1:-1]):
+        series = (series + term) / (w * w)
+    series = (series + STIRLING[0]) / w
+    return (w - 0.5) * log(w) - w + 0.5 * math.log(2 * math.pi) + series - log(shifted)
+
+
+# The same formula runs on columns, in a query, and on arrays, inside a task.
+COLUMNS = SimpleNamespace(
+    lgamma=lambda z: _stirling(z, F.log),
+    log=F.log,
+    exp=F.exp,
+    log1p=F.log1p,
+    abs=F.abs,
+    largest=F.greatest,
+    where=lambda test, a, b: F.when(test, a).otherwise(b),
+    number=lambda x: F.lit(float(x)),
+)
+ARRAYS = SimpleNamespace(
+    lgamma=lambda z: _stirling(z, np.log),
+    log=np.log,
+    exp=np.exp,
+    log1p=np.log1p,
+    abs=np.abs,
+    largest=np.maximum,
+    where=np.where,
+    number=float,
+)
 
 
 def _horner(coefficients, x: Column) -> Column:

@@ -1,21 +1,22 @@
 """Customer lifetime value: BG/NBD for purchases, Gamma-Gamma for their value.
 
 BG/NBD is Fader, Hardie and Lee (2005), Gamma-Gamma is Fader and Hardie (2013). Likelihoods and
-predictions are column expressions. A fit compresses customers to distinct histories with counts,
-and each step evaluates many parameter points in one aggregate over them.
+predictions are evaluated where the rows are. A fit compresses customers to distinct histories with
+counts, and each step evaluates many parameter points in one pass over them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortica.functions.columns import whole_days
-from cohortica.functions.special import lgamma
+from cohortica.functions.special import ARRAYS, COLUMNS
 from cohortica.operators.binning import edge_bin, quantile_edges
 from cohortica.operators.relational import top_k
 from cohortica.operators.rfm import at
@@ -86,33 +87,35 @@ def cltv_base_totals(
     )
 
 
-# Likelihoods. A parameter is a number, or a column when many points are evaluated at once.
+# Likelihoods, on columns or on arrays as ``m`` says. A parameter is a number, or an array with one
+# entry per parameter point.
 
 
-def bgnbd_loglik(p: Mapping[str, Column], x: Column, tx: Column, t: Column) -> Column:
+def bgnbd_loglik(p: Mapping, x, tx, t, m=COLUMNS):
     """ln of the likelihood of x purchases, the last at tx, in a history of length t."""
     r, alpha, a, b = p["r"], p["alpha"], p["a"], p["b"]
-    start = lgamma(r + x) - lgamma(r) + r * F.log(alpha)
-    alive = lgamma(b + x) - lgamma(a + b + x) - lgamma(b) + lgamma(a + b)
-    active = -(r + x) * F.log(alpha + t)
-    dropped = F.log(a) - F.log(b + x - 1) - (r + x) * F.log(alpha + tx)
-    gap = dropped - active
-    both = F.greatest(gap, F.lit(0.0)) + F.log1p(F.exp(-F.abs(gap)))
-    return start + alive + active + F.when(x > 0, both).otherwise(F.lit(0.0))
-
-
-def gamma_gamma_loglik(p: Mapping[str, Column], x: Column, m: Column) -> Column:
-    """ln of the likelihood of a mean value m over x purchases."""
+    start = m.lgamma(r + x) - m.lgamma(r) + r * m.log(alpha)
+    alive = m.lgamma(b + x) - m.lgamma(a + b + x) - m.lgamma(b) + m.lgamma(a + b)
+    active = -(r + x) * m.log(alpha + t)
+    # Without a purchase the second term is 0 and any positive stand-in for b + x - 1 will do.
+    left = m.where(x > 0, b + x - 1, m.number(1))
+    gap = m.log(a) - m.log(left) - (r + x) * m.log(alpha + tx) - active
+    both = m.largest(gap, m.number(0)) + m.log1p(m.exp(-m.abs(gap)))
+    return start + alive + active + m.where(x > 0, both, m.number(0))
+
+
+def gamma_gamma_loglik(p: Mapping, x, value, m=COLUMNS):
+    """ln of the likelihood of a mean value over x purchases."""
     px = p["p"] * x
     q, v = p["q"], p["v"]
     return (
-        lgamma(px + q)
-        - lgamma(px)
-        - lgamma(q)
-        + q * F.log(v)
-        + (px - 1) * F.log(m)
-        + px * F.log(x)
-        - (px + q) * F.log(v + x * m)
+        m.lgamma(px + q)
+        - m.lgamma(px)
+        - m.lgamma(q)
+        + q * m.log(v)
+        + (px - 1) * m.log(value)
+        + px * m.log(x)
+        - (px + q) * m.log(v + x * value)
     )
 
 
@@ -157,30 +160,45 @@ def _minimize(
 
 def _fit(
     histories: DataFrame,
-    loglik: Callable[[dict[str, Column]], Column],
+    loglik: Callable[[dict[str, np.ndarray], pd.DataFrame], np.ndarray],
     names: Sequence[str],
     start: Sequence[float],
     penalizer: float,
 ) -> np.ndarray:
-    """Parameters with the least mean negative log-likelihood plus the L2 penalty."""
+    """Parameters with the least mean negative log-likelihood plus the L2 penalty.
+
+    Each task sums its histories for all parameter points; a point's partial sums are added by
+    Spark, and one number per point comes back.
+    """
     total = histories.agg(F.sum("n")).first()[0]
-    one = loglik({k: F.col("p")[i] for i, k in enumerate(names)}) * F.col("n")
 
     def evaluate(thetas: np.ndarray) -> np.ndarray:
         params = np.exp(thetas)
-        points = ", ".join(f"array({', '.join(f'{v!r}D' for v in p)})" for p in params.tolist())
-        sums = dict(
-            histories.select("*", F.posexplode(F.expr(f"array({points})")).alias("i", "p"))
-            .groupBy("i")
-            .agg(F.sum(one))
-            .collect()
-        )
-        fits = np.array([sums[i] if sums[i] is not None else -np.inf for i in range(len(thetas))])
+        columns = {k: params[:, i, None] for i, k in enumerate(names)}
+
+        def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                values = loglik(columns, pdf) @ pdf["n"].to_numpy(dtype=float)
+                yield pd.DataFrame({"i": np.arange(len(values)), "ll": values})
+
+        parts = histories.mapInPandas(partial, "i int, ll double")
+        sums = dict(parts.groupBy("i").agg(F.sum("ll")).collect())
+        fits = np.array([sums[i] for i in range(len(thetas))])
         return -fits / total + penalizer * (params**2).sum(axis=1)
 
     return np.exp(_minimize(evaluate, np.log(np.array(start, dtype=float))))
 
 
+def _spread(histories: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Settle the histories over all cores: a fit is heavy on arithmetic and light on bytes, so
+    partitions sized by bytes would leave most cores idle."""
+    spark = histories.sparkSession
+    wanted = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    return settle(histories.repartition(wanted, *keys))
+
+
 def fit_bgnbd(base: DataFrame, penalizer: float = 0.001, repeat_only: bool = False) -> BgNbd:
     """Fit r, alpha, a and b by penalized maximum likelihood.
 
@@ -195,12 +213,14 @@ def fit_bgnbd(base: DataFrame, penalizer: float = 0.001, repeat_only: bool = Fal
         .groupBy("x", "tx", "t")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    histories = settle(histories)
+    histories = _spread(histories, ["x", "tx", "t"])
     unit = 10.0 / (histories.agg(F.max("t")).first()[0] or 10.0)
     histories = histories.withColumns({"tx": F.col("tx") * unit, "t": F.col("t") * unit})
     r, alpha, a, b = _fit(
         histories,
-        lambda p: bgnbd_loglik(p, F.col("x"), F.col("tx"), F.col("t")),
+        lambda p, h: bgnbd_loglik(
+            p, h["x"].to_numpy(), h["tx"].to_numpy(), h["t"].to_numpy(), ARRAYS
+        ),
         ("r", "alpha", "a", "b"),
         (1.0, 1.0, 1.0, 1.5),
         penalizer,
@@ -217,8 +237,8 @@ def fit_gamma_gamma(base: DataFrame, penalizer: float = 0.001) -> GammaGamma:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     p, q, v = _fit(
-        settle(histories),
-        lambda p: gamma_gamma_loglik(p, F.col("x"), F.col("m")),
+        _spread(histories, ["x", "m"]),
+        lambda p, h: gamma_gamma_loglik(p, h["x"].to_numpy(), h["m"].to_numpy(), ARRAYS),
         ("p", "q", "v"),
         (1.0, 1.0, 1.0),
         penalizer,
@@ -229,40 +249,47 @@ def fit_gamma_gamma(base: DataFrame, penalizer: float = 0.001) -> GammaGamma:
 # Predictions
 
 
-def _gauss_series(a: Column, b: Column, c: Column, z: Column, terms: int) -> Column:
-    """First terms of Gauss's 2F1(a, b; c; z)."""
-    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
-
-    def step(s: Column, k: Column) -> Column:
-        term = s["term"] * (a + k) * (b + k) / ((c + k) * (k + 1)) * z
-        return F.struct(term.alias("term"), (s["total"] + term).alias("total"))
-
-    ks = F.sequence(F.lit(0), F.lit(terms - 2)).cast("array<double>")
-    return F.aggregate(ks, start, step, lambda s: s["total"])
+def _gauss_series(a: float, b: float, c: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Gauss's 2F1(a, b; c; z) for 0 <= z < 1, summed until no term matters."""
+    term = np.ones_like(z)
+    total = np.ones_like(z)
+    for k in range(100_000):
+        term = term * ((a + k) * (b + k) / ((c + k) * (k + 1.0))) * z
+        total += term
+        if not np.any(np.abs(term) > 1e-16 * np.abs(total)):
+            break
+    return total
 
 
 def expected_purchases(
-    params: BgNbd, t: float, x: Column, tx: Column, tenure: Column, terms: int = 200
+    params: BgNbd, times: Sequence[float], x: Column, tx: Column, tenure: Column
 ) -> Column:
-    """Purchases expected in the next ``t`` periods given a customer's history.
+    """Purchases expected within each of ``times`` periods, as an array, given a history.
 
     The hypergeometric term is summed after Euler's transformation; the plain series loses all
-    digits for customers with many purchases.
+    digits for customers with many purchases. The sum runs over Arrow batches: as nested column
+    functions it would be interpreted term by term.
     """
-    if t <= 0:
-        return F.lit(0.0)
     r, alpha, a, b = params.r, params.alpha, params.a, params.b
     if abs(a - 1) < 1e-9:
         a = 1 + 1e-6
-    x = x.cast("double")
-    z = F.lit(float(t)) / (F.lit(alpha + t) + tenure)
-    c = x + (a + b - 1)
-    series = _gauss_series(F.lit(a + b - 1 - r), F.lit(a - 1), c, z, terms)
-    gauss = F.pow(1 - z, F.lit(a - 1 - r) - x) * series
-    shrink = F.pow((F.lit(alpha) + tenure) / (F.lit(alpha + t) + tenure), x + r)
-    top = c / F.lit(a - 1) * (1 - shrink * gauss)
-    odds = F.lit(a) / (x + (b - 1)) * F.pow((F.lit(alpha) + tenure) / (F.lit(alpha) + tx), x + r)
-    return top / (1 + F.when(x > 0, odds).otherwise(F.lit(0.0)))
+    times = [float(t) for t in times]
+
+    @F.pandas_udf("array<double>")
+    def expected(x: pd.Series, tx: pd.Series, tenure: pd.Series) -> pd.Series:
+        x, tx, tenure = (s.to_numpy(dtype=float, na_value=np.nan)[:, None] for s in (x, tx, tenure))
+        t = np.array(times)[None, :]
+        now, later = alpha + tenure, alpha + tenure + t
+        z = t / later
+        c = np.broadcast_to(x + (a + b - 1), z.shape)
+        gauss = (1 - z) ** (a - 1 - r - x) * _gauss_series(a + b - 1 - r, a - 1, c, z)
+        top = c / (a - 1) * (1 - (now / later) ** (x + r) * gauss)
+        left = np.where(x > 0, b + x - 1, 1.0)
+        odds = np.where(x > 0, a / left * (now / (alpha + tx)) ** (x + r), 0.0)
+        values = np.where(t > 0, top / (1 + odds), 0.0)
+        return pd.Series([None if np.isnan(v).any() else v for v in values])
+
+    return expected(x.cast("double"), tx, tenure)
 
 
 def expected_avg_value(params: GammaGamma, x: Column, m: Column) -> Column:
@@ -279,17 +306,12 @@ def cltv(
     rate: float = 0.01,
     periods_per_month: float = WEEKS_PER_MONTH,
     out: str = "cltv",
-    terms: int = 200,
 ) -> DataFrame:
     """Discounted value of the purchases expected in the next months, at a monthly rate."""
-    x, tx, tenure = F.col("frequency"), F.col("recency"), F.col("tenure")
-    ahead = [
-        expected_purchases(bg, i * periods_per_month, x, tx, tenure, terms)
-        for i in range(months + 1)
-    ]
-    curves = base.withColumn("_value", expected_avg_value(gg, x, F.col("monetary"))).withColumn(
-        "_ahead", F.array(*ahead)
-    )
+    times = [i * periods_per_month for i in range(months + 1)]
+    ahead = expected_purchases(bg, times, F.col("frequency"), F.col("recency"), F.col("tenure"))
+    worth = expected_avg_value(gg, F.col("frequency"), F.col("monetary"))
+    curves = base.withColumn("_ahead", ahead).withColumn("_value", worth)
     total = F.lit(0.0)
     for i in range(1, months + 1):
         bought = F.col("_ahead")[i] - F.col("_ahead")[i - 1]

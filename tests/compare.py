@@ -1,4 +1,4 @@
-"""Run queries next to their SQL in DuckDB: ``python tests/compare.py [sf_dir] [name part ...]``."""
+"""Run queries next to their SQL in DuckDB: ``python tests/compare.py [sf_dir] [name part | -name part ...]``."""
 
 from __future__ import annotations
 
@@ -69,7 +69,10 @@ def main(argv):
     con = connect(sf_dir)
     bad = 0
     for name, run in QUERIES.items():
-        if argv[1:] and not any(p in name for p in argv[1:]):
+        if any(p[1:] in name for p in argv[1:] if p.startswith("-")):
+            continue
+        wanted = [p for p in argv[1:] if not p.startswith("-")]
+        if wanted and not any(p in name for p in wanted):
             continue
         start = time.time()
         try:
