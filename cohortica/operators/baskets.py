@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortica.functions.columns import concat_key, month_key
-from cohortica.session import settle
+from cohortica.session import parallelism, settle
 
 
 def monthly_items(
@@ -77,7 +77,7 @@ def frequent_itemsets(items: DataFrame, min_support: float, max_len: int = 3) ->
         return items.sparkSession.createDataFrame([], "items array<string>, n bigint, support double")
     # The support is given among the baskets that are left, half a basket below the limit.
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / held))
-    found = model.setNumPartitions(_partitions(items)).fit(kept).freqItemsets
+    found = model.setNumPartitions(parallelism(items.sparkSession)).fit(kept).freqItemsets
     return found.where((F.size("items") <= max_len) & (F.col("freq") >= least)).select(
         F.sort_array("items").alias("items"),
         F.col("freq").alias("n"),
@@ -91,10 +91,6 @@ def _ceil(x: float) -> int:
     return near if abs(x - near) < 1e-9 * max(1.0, abs(x)) else int(-(-x // 1))
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def association_rules(
     itemsets: DataFrame, metric: str = "support", min_threshold: float = 0.01
 ) -> DataFrame:

@@ -20,7 +20,7 @@ from cohortica.functions.special import ARRAYS, COLUMNS
 from cohortica.operators.binning import edge_bin, quantile_edges
 from cohortica.operators.relational import top_k
 from cohortica.operators.rfm import at
-from cohortica.session import settle
+from cohortica.session import parallelism, settle
 
 WEEKS_PER_MONTH = 365 / 84
 
@@ -190,13 +190,8 @@ def _fit(
 
 
 def _spread(histories: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Settle the histories over all cores: a fit is heavy on arithmetic and light on bytes, so
-    partitions sized by bytes would leave most cores idle."""
-    spark = histories.sparkSession
-    wanted = max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
-    return settle(histories.repartition(wanted, *keys))
+    """Settle the histories, one part per core."""
+    return settle(histories.repartition(parallelism(histories.sparkSession), *keys))
 
 
 def fit_bgnbd(base: DataFrame, penalizer: float = 0.001, repeat_only: bool = False) -> BgNbd:

@@ -24,18 +24,27 @@ from cohortica.operators.encode import one_hot
 from cohortica.operators.profile import string_columns
 from cohortica.operators.relational import drop_incomplete
 from cohortica.operators.scale import minmax_inverse, minmax_scale, minmax_stats
-from cohortica.session import settle
+from cohortica.session import parallelism, settle
 
 # Donors per cell aimed at, most pivots (they go to every task), and rows per side of a block.
-CELL_ROWS = 4_000
-MOST_PIVOTS = 2_048
+CELL_ROWS = 1_000
+MOST_PIVOTS = 16_384
 BLOCK_ROWS = 4_000
+# Most numbers in one distance matrix.
+MATRIX_CELLS = 4_000_000
 
 
 def _matrix(pdf: pd.DataFrame, feats: Sequence[str]) -> np.ndarray:
     return pdf[list(feats)].to_numpy(dtype=float, na_value=np.nan)
 
 
+def _slices(pdf: pd.DataFrame, width: int) -> Iterator[pd.DataFrame]:
+    """Rows in steps small enough for a matrix of ``width`` columns."""
+    step = max(1, MATRIX_CELLS // max(1, width))
+    for at in range(0, len(pdf), step):
+        yield pdf.iloc[at : at + step]
+
+
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Distances over shared coordinates; infinite when two points share none."""
     total = np.zeros((len(x), len(y)))
@@ -106,8 +115,7 @@ def knn_join(
 
     def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for at in range(0, len(pdf), 1_000):
-                part = pdf.iloc[at : at + 1_000]
+            for part in _slices(pdf, len(cells)):
                 x = _matrix(part, feats)
                 bounds = _box_bounds(x, low, high)
                 centre = _distances(x, (low + high) / 2)
@@ -116,8 +124,7 @@ def knn_join(
 
     def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for at in range(0, len(pdf), 1_000):
-                part = pdf.iloc[at : at + 1_000]
+            for part in _slices(pdf, len(cells)):
                 bounds = _box_bounds(_matrix(part, feats), low, high)
                 reach = part["_reach"].to_numpy(dtype=float, na_value=np.inf)
                 open_ = (bounds <= reach[:, None]) & np.isfinite(bounds)
@@ -152,8 +159,7 @@ def _placer(pivots: np.ndarray, feats: Sequence[str]):
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for at in range(0, len(pdf), 1_000):
-                part = pdf.iloc[at : at + 1_000]
+            for part in _slices(pdf, len(pivots)):
                 x = _matrix(part, feats)
                 nearest = _distances(x, pivots).argmin(axis=1)
                 pattern = ["".join("1" if m else "0" for m in row) for row in np.isnan(x)]
@@ -194,30 +200,32 @@ def _nearest(queries, placed, sizes, feats, k, key, skip_self, found, block_rows
         out = []
         d = d.sort_values(key, kind="stable")
         ids, y = d[key].to_numpy(), _matrix(d, feats)
-        step = max(1, 2_000_000 // max(1, len(d)))
-        for at in range(0, len(q), step):
-            part = q.iloc[at : at + step]
+        for part in _slices(q, len(d)):
             own = part[key].to_numpy()
             dist = _distances(_matrix(part, feats), y)
             if skip_self:
                 dist[own[:, None] == ids[None, :]] = np.inf
-            # Donors are in key order and the sort is stable, so ties go to the smaller key.
-            order = np.argsort(dist, axis=1, kind="stable")[:, :k]
-            picked = np.take_along_axis(dist, order, axis=1)
-            rows, places = np.nonzero(np.isfinite(picked))
+            limit = np.full(len(own), np.inf)
+            if len(ids) > k:
+                limit = np.partition(dist, k - 1, axis=1)[:, k - 1]
+            # Donors are in key order, so the sort leaves ties to the smaller key.
+            rows, places = np.nonzero((dist <= limit[:, None]) & np.isfinite(dist))
+            near = dist[rows, places]
+            order = np.lexsort((places, near, rows))
+            rows, places, near = rows[order], places[order], near[order]
+            first = np.searchsorted(rows, np.arange(len(own)))
+            kept = np.arange(len(rows)) - first[rows] < k
             out.append(
                 pd.DataFrame(
-                    {
-                        key: own[rows],
-                        "donor": ids[order[rows, places]],
-                        "dist": picked[rows, places],
-                    }
+                    {key: own[rows[kept]], "donor": ids[places[kept]], "dist": near[kept]}
                 )
             )
         empty = pd.DataFrame({key: [], "donor": [], "dist": []})
         return pd.concat(out) if out else empty
 
     blocks = ["_cell", "_q", "_d"]
+    spread = parallelism(spark)
+    left, right = left.repartition(spread, *blocks), right.repartition(spread, *blocks)
     pairs = left.groupBy(*blocks).cogroup(right.groupBy(*blocks)).applyInPandas(match, found)
     return _best(pairs, key, k)
 

@@ -56,3 +56,13 @@ def settle(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Partitions for work that is heavy on arithmetic and light on bytes.
+
+    Adaptive execution sizes partitions by bytes, which would leave most cores idle there.
+    """
+    return max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
