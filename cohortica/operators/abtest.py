@@ -20,6 +20,7 @@ from cohortica.functions.special import (
 )
 from cohortica.operators.quantiles import grouped_quantile
 from cohortica.operators.ranking import global_rank
+from cohortica.session import small_side
 
 # Royston's polynomials (AS R94, 1995) in 1/sqrt(n), highest power first.
 ROYSTON_LAST = (-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, 0.0)
@@ -67,7 +68,7 @@ def shapiro_w(df: DataFrame, key: str, group: str = "grp", col: str = "purchase"
     m = normal_quantile((i - 0.375) / (n + 0.25))
     inner = (i >= 3) & (i <= n - 2)
     sums = (
-        ranked.join(sizes, group)
+        ranked.join(small_side(sizes), group)
         .withColumn("_m", m)
         .groupBy(group)
         .agg(
@@ -139,7 +140,7 @@ def levene(df: DataFrame, group: str = "grp", col: str = "purchase") -> DataFram
     rows = df.where(F.col(group).isNotNull() & F.col(col).isNotNull())
     medians = grouped_quantile(rows, [group], col, 0.5, "_med")
     stats = (
-        rows.join(medians, group)
+        rows.join(small_side(medians), group)
         .withColumn("_z", F.abs(F.col(col) - F.col("_med")))
         .groupBy(group)
         .agg(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortica.functions.columns import concat_key, month_key
-from cohortica.session import parallelism, settle
+from cohortica.session import parallelism, settle, small_side
 
 
 def monthly_items(
@@ -70,7 +70,7 @@ def frequent_itemsets(items: DataFrame, min_support: float, max_len: int = 3) ->
         return items.sparkSession.createDataFrame([], "items array<string>, n bigint, support double")
     least = max(1, _ceil(min_support * baskets))
     frequent = cells.groupBy("item").count().where(F.col("count") >= least).select("item")
-    kept = gather(cells.join(frequent, "item", "left_semi"))
+    kept = gather(cells.join(small_side(frequent), "item", "left_semi"))
     kept = settle(kept)
     held = kept.count()
     if not held:
@@ -141,7 +141,8 @@ def arl_recommend(rules: DataFrame, targets: DataFrame, n: int) -> DataFrame:
         .withColumn("item", F.explode("consequent"))
         .select("target", "item", "lift", "support", "antecedent")
     )
-    wanted = reached.join(targets.select("target").distinct(), "target", "left_semi")
+    asked = small_side(targets.select("target").distinct())
+    wanted = reached.join(asked, "target", "left_semi")
     best = (
         wanted.groupBy("target", "item")
         .agg(

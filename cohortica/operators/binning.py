@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortica.operators.quantiles import exact_quantiles, grouped_quantile
 from cohortica.operators.ranking import global_rank
+from cohortica.session import small_side
 
 
 def quantile_edges(df: DataFrame, cols: Sequence[str], k: int) -> dict[str, list[float]]:
@@ -92,4 +93,4 @@ def group_transform(df: DataFrame, key: str, col: str, how: str, out: str) -> Da
         stats = grouped_quantile(df, [key], col, 0.5, out)
     else:
         raise ValueError(how)
-    return df.join(stats, key, "left")
+    return df.join(small_side(stats), key, "left")

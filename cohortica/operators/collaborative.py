@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortica.operators.relational import drop_rare_items, top_k
+from cohortica.session import small_side
 
 
 def rating_table(
@@ -38,7 +39,7 @@ def overlap_users(
     item: str = "movie_id",
 ) -> DataFrame:
     """Users who rated at least ``pct`` percent of the target's items, the target included."""
-    seen = watched(table, target, user, item)
+    seen = small_side(watched(table, target, user, item))
     least = seen.count() * pct / 100
     return (
         table.join(seen, item, "left_semi")
@@ -67,7 +68,9 @@ def similar_users(
 
     One join with the target's own ratings gives both the overlap and the correlation.
     """
-    own = table.where(F.col(user) == F.lit(target)).select(item, F.col("rating").alias("_own"))
+    own = small_side(
+        table.where(F.col(user) == F.lit(target)).select(item, F.col("rating").alias("_own"))
+    )
     least = own.where(F.col("_own").isNotNull()).count() * pct / 100
     return (
         table.where(F.col(user) != F.lit(target))
@@ -93,7 +96,7 @@ def user_based_recommend(
 ) -> DataFrame:
     """Top items by the mean of correlation times rating over the similar users' ratings."""
     weighted = (
-        ratings.join(similar, user)
+        ratings.join(small_side(similar), user)
         .groupBy(item)
         .agg(F.avg(F.col("corr") * F.col("rating")).alias("weighted_rating"))
         .where(F.col("weighted_rating") > F.lit(min_score))
@@ -105,7 +108,9 @@ def item_correlations(
     table: DataFrame, target: str, user: str = "user_id", item: str = "movie_id"
 ) -> DataFrame:
     """Correlation of every other item's ratings with the target item's, over shared users."""
-    own = table.where(F.col(item) == F.lit(target)).select(user, F.col("rating").alias("_own"))
+    own = small_side(
+        table.where(F.col(item) == F.lit(target)).select(user, F.col("rating").alias("_own"))
+    )
     return (
         table.where(F.col(item) != F.lit(target))
         .join(own, user)

@@ -24,11 +24,11 @@ from cohortica.operators.encode import one_hot
 from cohortica.operators.profile import string_columns
 from cohortica.operators.relational import drop_incomplete
 from cohortica.operators.scale import minmax_inverse, minmax_scale, minmax_stats
-from cohortica.session import parallelism, settle
+from cohortica.session import parallelism, settle, small_side
 
-# Donors per cell aimed at, most pivots (they go to every task), and rows per side of a block.
+# Donors per cell aimed at, most cells (their boxes go to every task), and rows per side of a block.
 CELL_ROWS = 1_000
-MOST_PIVOTS = 16_384
+MOST_CELLS = 16_384
 BLOCK_ROWS = 4_000
 # Most numbers in one distance matrix.
 MATRIX_CELLS = 4_000_000
@@ -96,11 +96,13 @@ def knn_join(
     queries, donors = settle(queries.select(*columns)), settle(donors.select(*columns))
     kind = dict(donors.dtypes)[key]
     found = f"`{key}` {kind}, donor {kind}, dist double"
-    n = donors.count()
+    holes = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in feats])
+    n, patterns = donors.agg(F.count(F.lit(1)), F.count_distinct(holes)).first()
     if not n:
         return queries.sparkSession.createDataFrame([], found)
 
-    pivots = _pivots(donors, feats, key, min(MOST_PIVOTS, -(-n // cell_rows)))
+    most = max(1, MOST_CELLS // patterns)
+    pivots = _pivots(donors, feats, key, min(most, -(-n // cell_rows)))
     placed = settle(donors.mapInPandas(_placer(pivots, feats), _with_cell(donors)))
     boxes = placed.groupBy("_cell").agg(
         F.count(F.lit(1)).alias("n"),
@@ -273,7 +275,7 @@ def lof(df: DataFrame, cols: Sequence[str], key: str, k: int = 20, **sizes: int)
         .select("key", (-F.col("_around") / F.col("_lrd")).alias("lof_score"))
     )
     by_point = points.join(scores, "key").groupBy(*cols).agg(F.max("lof_score").alias("lof_score"))
-    near = by_point.alias("s")
+    near = small_side(by_point).alias("s")
     return rows.alias("r").join(
         near,
         reduce(and_, [F.col(f"r.{c}").cast("double") == F.col(f"s.{c}") for c in cols]),
@@ -325,7 +327,10 @@ def knn_impute(
     mean = df.agg(F.avg(target)).first()[0]
     filled = (
         missing.alias("m")
-        .join(asked.join(fills, "key", "left").drop("key").alias("a"), _same("m", "a", points))
+        .join(
+            small_side(asked.join(fills, "key", "left").drop("key")).alias("a"),
+            _same("m", "a", points),
+        )
         .select(F.col("m.key").alias(key), F.coalesce("a._fill", F.lit(mean)).alias("_fill"))
     )
     return (

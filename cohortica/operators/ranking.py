@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortica.session import settle
+from cohortica.session import settle, small_side
 
 
 def global_rank(
@@ -41,7 +41,7 @@ def global_rank(
         )
     )
     return (
-        placed.join(offsets, [*group, "_block"])
+        placed.join(small_side(offsets), [*group, "_block"])
         .withColumn(out, F.col("_slot") + F.col("_shift"))
         .select(*df.columns, out)
     )
@@ -64,7 +64,7 @@ def running_total(df: DataFrame, order: Sequence[str], amount: str, out: str) ->
     inside = Window.partitionBy("_block").orderBy(*order)
     return (
         placed.withColumn("_in", F.sum(amount).over(inside))
-        .join(offsets, "_block")
+        .join(small_side(offsets), "_block")
         .withColumn(out, F.col("_in") + F.col("_before"))
         .select(*df.columns, out)
     )

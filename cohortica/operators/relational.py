@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortica.operators.profile import melt
+from cohortica.session import small_side
 
 # Filters and projections
 
@@ -92,8 +93,8 @@ def lookup_name(wanted: DataFrame, df: DataFrame, id_col: str, name_col: str) ->
     )
 
 
-# Joins and unions. No side is forced to broadcast: the size of a dimension is the caller's, and
-# adaptive execution broadcasts it once its measured size is small, or splits skewed partitions.
+# Joins and unions. A side computed here is counted before it is broadcast. The size of a given
+# dimension is the caller's: Spark broadcasts it if its files are small.
 
 
 def enrich(fact: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -130,12 +131,12 @@ def drop_rare_items(df: DataFrame, key: str, min_n: int) -> DataFrame:
         .where(F.col("count") < min_n)
         .select(key)
     )
-    return df.join(rare, key, "left_anti")
+    return df.join(small_side(rare), key, "left_anti")
 
 
 def keep_members(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
     """Keep rows whose key is among the members."""
-    return df.join(members.select(key), key, "left_semi")
+    return df.join(small_side(members.select(key)), key, "left_semi")
 
 
 def attach_country(

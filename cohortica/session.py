@@ -6,6 +6,10 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Most rows of a derived table that is sent to every task.
+BROADCAST_ROWS = 500_000
 
 
 def local_session(cores: str = "*", app: str = "cohortica", **conf: str) -> SparkSession:
@@ -58,6 +62,16 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A derived table ready to be joined to a large one: settled, counted, and broadcast if small.
+
+    Adaptive execution also broadcasts what turns out small, but by then the large side has been
+    shuffled. Above the bound the join shuffles, and adaptive execution splits skewed partitions.
+    """
+    df = settle(df)
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions for work that is heavy on arithmetic and light on bytes.
 
