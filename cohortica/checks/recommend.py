@@ -59,24 +59,25 @@ def invoice_presence(spark, sf):
     return baskets.invoice_presence(lines)
 
 
-ITEMSETS = (
-    with_fixture("fx_baskets").rstrip()
-    + ", total as (select count(distinct basket) as baskets from fx_baskets), "
-    "one as (select [item] as items, count(*) as n from fx_baskets group by item), "
-    "pairs as (select [a.item, b.item] as items, count(*) as n from fx_baskets a join fx_baskets b "
-    "on a.basket = b.basket and a.item < b.item group by a.item, b.item), "
-    "triples as (select [a.item, b.item, c.item] as items, count(*) as n from fx_baskets a "
-    "join fx_baskets b on a.basket = b.basket and a.item < b.item "
-    "join fx_baskets c on a.basket = c.basket and b.item < c.item "
-    "group by a.item, b.item, c.item), "
-    "sets as (select items, n, n::double / baskets as support from (select * from one union all "
-    "select * from pairs union all select * from triples), total "
-    f"where n::double / baskets >= {MIN_SUPPORT}::double) "
-)
+def itemsets_sql(cells: str, min_support: float) -> str:
+    """Table ``sets`` from the table ``cells`` with one row per basket and item."""
+    return (
+        f"total as (select count(distinct basket) as baskets from {cells}), "
+        f"one as (select [item] as items, count(*) as n from {cells} group by item), "
+        f"pairs as (select [a.item, b.item] as items, count(*) as n from {cells} a join {cells} b "
+        "on a.basket = b.basket and a.item < b.item group by a.item, b.item), "
+        f"triples as (select [a.item, b.item, c.item] as items, count(*) as n from {cells} a "
+        f"join {cells} b on a.basket = b.basket and a.item < b.item "
+        f"join {cells} c on a.basket = c.basket and b.item < c.item "
+        "group by a.item, b.item, c.item), "
+        "sets as (select items, n, n::double / baskets as support from (select * from one "
+        "union all select * from pairs union all select * from triples), total "
+        f"where n::double / baskets >= {min_support}::double) "
+    )
 
-RULES = (
-    ITEMSETS
-    + ", splits as (select [items[1]] as antecedent, items[2:] as consequent, support from sets "
+
+RULES_FROM_SETS = (
+    ", splits as (select [items[1]] as antecedent, items[2:] as consequent, support from sets "
     "where len(items) >= 2 union all select items[2:], [items[1]], support from sets "
     "where len(items) >= 2 union all select [items[2]], [items[1], items[3]], support from sets "
     "where len(items) = 3 union all select [items[1], items[3]], [items[2]], support from sets "
@@ -88,6 +89,20 @@ RULES = (
     "on s.antecedent = a.items join sets c on s.consequent = c.items) "
 )
 
+ITEMSETS = (
+    with_fixture("fx_baskets").rstrip() + ", " + itemsets_sql("fx_baskets", MIN_SUPPORT)
+)
+RULES = ITEMSETS + RULES_FROM_SETS
+PICKS = (
+    ", reached as (select t.target, i.item, lift, support, antecedent from rules, "
+    "unnest(antecedent) as t(target), unnest(consequent) as i(item)), "
+    "best as (select *, row_number() over (partition by target, item "
+    "order by lift desc, support desc, antecedent) as r from reached), "
+    "ranked as (select target, item, lift, row_number() over (partition by target "
+    "order by lift desc, support desc, antecedent, item) as rank from best where r = 1), "
+    "picks as (select target, rank, item, lift from ranked where rank <= 3) "
+)
+
 
 def itemsets(spark, sf):
     return baskets.frequent_itemsets(load(spark, sf, "fx_baskets"), MIN_SUPPORT, 3)
@@ -125,14 +140,7 @@ def assoc_rules(spark, sf):
 
 @query(
     "q_arl_recommend",
-    RULES
-    + ", reached as (select t.target, i.item, lift, support, antecedent from rules, "
-    "unnest(antecedent) as t(target), unnest(consequent) as i(item)), "
-    "best as (select *, row_number() over (partition by target, item "
-    "order by lift desc, support desc, antecedent) as r from reached), "
-    "ranked as (select target, item, lift, row_number() over (partition by target "
-    "order by lift desc, support desc, antecedent, item) as rank from best where r = 1) "
-    "select target, rank, item, lift from ranked where rank <= 3",
+    RULES + PICKS + "select * from picks",
     {"lift": 6},
 )
 def arl_recommend(spark, sf):
@@ -140,7 +148,24 @@ def arl_recommend(spark, sf):
     return baskets.arl_recommend(rules(spark, sf), targets, 3)
 
 
-@query("q_shelf_recommend")
+@query(
+    "q_shelf_recommend",
+    with_fixture("fx_retail").rstrip()
+    + ", cells as (select distinct invoice as basket, description as item from fx_retail "
+    "where customer_id is not null and not contains(invoice, 'C') and price > 0 "
+    "and quantity > 0 and country = 'NATION_7'), "
+    + itemsets_sql("cells", 0.005)
+    + RULES_FROM_SETS.replace("rules as (select", "every_rule as (select")
+    + ", rules as (select * from every_rule where support >= 0.01::double) "
+    + PICKS
+    + ", wanted as (select p_brand || '_' || p_type as stock_code, min(p_name) as any_name "
+    "from part group by 1), named as (select w.stock_code, "
+    "coalesce(min(r.description), 'not found') as description from wanted w left join fx_retail r "
+    "on w.stock_code = r.stock_code group by w.stock_code) "
+    "select stock_code, description, rank, item, lift from named "
+    "left join picks on description = target",
+    {"lift": 6},
+)
 def shelf_recommend(spark, sf):
     lines = settle(load(spark, sf, "fx_retail"))
     found = settle(basket_rules(lines, "NATION_7", min_support=0.005))

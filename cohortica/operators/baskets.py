@@ -77,7 +77,7 @@ def frequent_itemsets(items: DataFrame, min_support: float, max_len: int = 3) ->
         return items.sparkSession.createDataFrame([], "items array<string>, n bigint, support double")
     # The support is given among the baskets that are left, half a basket below the limit.
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / held))
-    found = model.setNumPartitions(parallelism(items.sparkSession)).fit(kept).freqItemsets
+    found = model.setNumPartitions(parallelism(items.sparkSession, -(-held // 10_000))).fit(kept).freqItemsets
     return found.where((F.size("items") <= max_len) & (F.col("freq") >= least)).select(
         F.sort_array("items").alias("items"),
         F.col("freq").alias("n"),
@@ -101,6 +101,7 @@ def association_rules(
     """
     if metric not in ("support", "confidence", "lift"):
         raise ValueError(metric)
+    itemsets = small_side(itemsets)
     masks = F.sequence(
         F.lit(1), F.call_function("shiftleft", F.lit(1), F.size("items")) - 2
     )

@@ -23,6 +23,7 @@ from cohortica.operators.rfm import at
 from cohortica.session import parallelism, settle
 
 WEEKS_PER_MONTH = 365 / 84
+HISTORIES_PER_TASK = 4_000
 
 
 @dataclass(frozen=True)
@@ -126,16 +127,21 @@ def literals(params: BgNbd | GammaGamma) -> dict[str, Column]:
 def _minimize(
     evaluate: Callable[[np.ndarray], np.ndarray], start: np.ndarray, steps: int = 40
 ) -> np.ndarray:
-    """Damped Newton steps on finite differences; each call of ``evaluate`` is one Spark job."""
+    """Damped Newton steps on finite differences; each call of ``evaluate`` is one Spark job.
+
+    The job that tries the steps also evaluates the points around the full step, so an iteration
+    that takes the full step needs no second job.
+    """
     n, h = len(start), 1e-3
     unit = np.eye(n) * h
     pairs = [(i, j) for i in range(n) for j in range(i)]
-    theta = start
+    offsets = [np.zeros(n)]
+    offsets += [s * u for u in unit for s in (1, -1)]
+    offsets += [s * (unit[i] + unit[j]) for i, j in pairs for s in (1, -1)]
+    around = np.array(offsets)
+
+    theta, f = start, evaluate(start + around)
     for _ in range(steps):
-        around = [theta]
-        around += [theta + s * u for u in unit for s in (1, -1)]
-        around += [theta + s * (unit[i] + unit[j]) for i, j in pairs for s in (1, -1)]
-        f = evaluate(np.array(around))
         up, down = f[1 : 2 * n + 1 : 2], f[2 : 2 * n + 1 : 2]
         slope = (up - down) / (2 * h)
         curve = np.diag((up - 2 * f[0] + down) / h**2)
@@ -146,13 +152,20 @@ def _minimize(
         sizes, axes = np.linalg.eigh(curve)
         newton = -axes @ ((axes.T @ slope) / np.maximum(np.abs(sizes), 1e-6))
         newton *= min(1.0, 2.0 / max(np.abs(newton).max(), 1e-300))
-        tries = [theta + s * newton for s in (2.0, 1.0, 0.5, 0.25, 0.06, 0.015)]
+        full = theta + newton
+        tries = [theta + s * newton for s in (2.0, 0.5, 0.25, 0.06, 0.015)]
         tries += [theta - s * slope for s in (1.0, 0.1, 0.01)]
-        values = evaluate(np.array(tries))
-        best = int(np.nanargmin(values))
-        gain = f[0] - values[best]
-        if gain > 0:
+        values = evaluate(np.vstack([full + around, tries]))
+        at_full, others = values[: len(around)], values[len(around) :]
+        best = int(np.nanargmin(others))
+        gain = f[0] - np.nanmin([at_full[0], others[best]])
+        if not gain > 0:
+            break
+        if at_full[0] <= others[best]:
+            theta, f = full, at_full
+        else:
             theta = tries[best]
+            f = evaluate(theta + around) if gain >= 1e-6 else f
         if gain < 1e-6:
             break
     return theta
@@ -190,8 +203,10 @@ def _fit(
 
 
 def _spread(histories: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Settle the histories, one part per core."""
-    return settle(histories.repartition(parallelism(histories.sparkSession), *keys))
+    """Settle the histories in parts of a few thousand rows, or a few parts per core."""
+    histories = settle(histories)
+    parts = parallelism(histories.sparkSession, -(-histories.count() // HISTORIES_PER_TASK))
+    return settle(histories.repartition(parts, *keys)) if parts > 1 else histories
 
 
 def fit_bgnbd(base: DataFrame, penalizer: float = 0.001, repeat_only: bool = False) -> BgNbd:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -15,6 +15,7 @@ from cohortica.operators.binning import group_transform
 from cohortica.operators.profile import distinct_counts, melt, numeric_columns, string_columns
 from cohortica.operators.quantiles import exact_quantiles
 from cohortica.operators.relational import corr_pairs
+from cohortica.session import settle
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -207,5 +208,15 @@ def regression_impute(
     return filled.withColumn(col, F.greatest(F.col(col), F.lit(0.0)))
 
 
-def fill_values(df: DataFrame, values: Mapping[str, float | str]) -> DataFrame:
-    return df.na.fill(dict(values))
+def regression_impute_all(
+    df: DataFrame,
+    cols: Sequence[str],
+    target: str | None = None,
+    th: float = 0.25,
+    exclude: Sequence[str] = (),
+    compat: bool = False,
+) -> DataFrame:
+    """Impute column by column; a column filled earlier helps to fill the later ones."""
+    for c in cols:
+        df = settle(regression_impute(settle(df), c, target, th, exclude, compat=compat))
+    return df

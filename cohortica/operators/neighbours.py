@@ -178,13 +178,8 @@ def _nearest(queries, placed, sizes, feats, k, key, skip_self, found, block_rows
     """
     counts = {c: n for c, n in queries.groupBy("_cell").count().collect()}
     spark = queries.sparkSession
-    parts = spark.createDataFrame(
-        [
-            (c, -(-n // block_rows), -(-sizes[c] // block_rows))
-            for c, n in counts.items()
-        ],
-        "_cell string, _nq int, _nd int",
-    )
+    split = [(c, -(-n // block_rows), -(-sizes[c] // block_rows)) for c, n in counts.items()]
+    parts = spark.createDataFrame(split, "_cell string, _nq int, _nd int")
     left = (
         queries.join(parts, "_cell")
         .withColumn("_q", F.pmod(F.xxhash64(key), F.col("_nq")))
@@ -226,7 +221,7 @@ def _nearest(queries, placed, sizes, feats, k, key, skip_self, found, block_rows
         return pd.concat(out) if out else empty
 
     blocks = ["_cell", "_q", "_d"]
-    spread = parallelism(spark)
+    spread = parallelism(spark, sum(nq * nd for _, nq, nd in split))
     left, right = left.repartition(spread, *blocks), right.repartition(spread, *blocks)
     pairs = left.groupBy(*blocks).cogroup(right.groupBy(*blocks)).applyInPandas(match, found)
     return _best(pairs, key, k)

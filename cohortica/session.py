@@ -72,11 +72,11 @@ def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Partitions for work that is heavy on arithmetic and light on bytes.
+def parallelism(spark: SparkSession, tasks: int) -> int:
+    """Partitions for so many tasks' worth of work: one each, up to a few per core.
 
-    Adaptive execution sizes partitions by bytes, which would leave most cores idle there.
+    For work that is heavy on arithmetic and light on bytes. Adaptive execution sizes partitions by
+    bytes, which would leave most cores idle there.
     """
-    return max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(tasks, max(3 * spark.sparkContext.defaultParallelism, shuffle)))
