@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 
+from cohortica.checks.customers import bin_sql, edges_sql
 from cohortica.checks.fixtures import load, table, with_fixture
 from cohortica.checks.registry import query
 from cohortica.checks.tables import HEALTH_NULLS, corr_sql
@@ -971,3 +972,68 @@ def feature_table(spark, sf):
 @query("q_feature_model")
 def feature_model(spark, sf):
     return features.judge(features.feature_table(people(spark, sf)), "ID", "SURVIVED", trees=20)
+
+
+@query(
+    "q_health_features",
+    with_fixture("fx_health").rstrip()
+    + ", "
+    + HEALTH_NULLS
+    + ", b as (select *, case when bmi > 0 and bmi <= 18.5 then 'Underweight' when bmi <= 24.9 "
+    "then 'Healthy' when bmi <= 29.9 then 'Overweight' when bmi > 29.9 then 'Obese' end "
+    "as bmi_category, case when age >= 50 then 'senior' when age >= 21 then 'mature' end "
+    "as age_category, case when glucose < 70 then 'low' when glucose < 100 then 'normal' "
+    "when glucose < 125 then 'hidden' when glucose >= 125 then 'high' end as sugar from h) "
+    "select id, bmi_category, age_category, case when glucose > 0 and glucose <= 140 then 'Normal' "
+    "when glucose > 140 and glucose <= 200 then 'Prediabetes' when glucose > 200 and "
+    "glucose <= 300 then 'Diabetes' end as glucose_category, lower(bmi_category) || age_category "
+    "as age_bmi, sugar || age_category as age_glucose, case when insulin between 16 and 166 "
+    "then 'Normal' else 'Abnormal' end as insulin_score, glucose * insulin as glucose_insulin, "
+    "glucose * pregnancies as glucose_pregnancies from b",
+    {"glucose_insulin": 6, "glucose_pregnancies": 6},
+)
+def health_features(spark, sf):
+    return features.health_features(health(spark, sf)).select(
+        "id",
+        "bmi_category",
+        "age_category",
+        "glucose_category",
+        "age_bmi",
+        "age_glucose",
+        "insulin_score",
+        "glucose_insulin",
+        "glucose_pregnancies",
+    )
+
+
+@query("q_health_table")
+def health_table(spark, sf):
+    return features.health_table(load(spark, sf, "fx_health"))
+
+
+@query(
+    "q_churn_features",
+    TELCO.rstrip()
+    + ", n as (select *, try_cast(trim(total_charges) as double) as charges from fx_telco), "
+    f"q as ({edges_sql('monthly_charges', 3, 'fx_telco')}), "
+    "t as (select *, coalesce(charges, (select quantile_cont(charges, 0.5) from n)) as total, "
+    f"{_N_SERVICES} as services from n) "
+    "select customer_id, "
+    + bin_sql("monthly_charges", "e", ["'low'", "'medium'", "'high'"])
+    + " as charges_level, case when lower(trim(churn)) = 'yes' then 1 else 0 end as churned, "
+    "case when contract in ('One year', 'Two year') then 1 else 0 end as engaged, services, "
+    "total / (tenure + 1) as avg_charge, total / (tenure + 1) / monthly_charges as increase, "
+    "monthly_charges / (services + 1) as service_fee from t, q",
+    {"avg_charge": 6, "increase": 6, "service_fee": 6},
+)
+def churn_features(spark, sf):
+    return features.churn_features(load(spark, sf, "fx_telco")).select(
+        "customer_id",
+        "charges_level",
+        "churned",
+        "engaged",
+        "services",
+        "avg_charge",
+        "increase",
+        "service_fee",
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortica.functions import columns as c
+from cohortica.operators.binning import cut, qcut
 from cohortica.operators.encode import (
     binary_columns,
     label_encode,
@@ -13,7 +14,13 @@ from cohortica.operators.encode import (
     rare_encode,
     useless_columns,
 )
-from cohortica.operators.missing import fill_by_group, fill_categorical
+from cohortica.operators.missing import (
+    fill_by_group,
+    fill_categorical,
+    fill_numeric,
+    regression_impute_all,
+    zero_to_null,
+)
 from cohortica.operators.model import classification_metrics, fit_forest, predict, roc_auc, split
 from cohortica.operators.outliers import clip_outliers, outlier_thresholds
 from cohortica.operators.profile import grab_col_names, numeric_columns, string_columns
@@ -85,6 +92,74 @@ def feature_table(
     return standard_scale(df.drop(*useless), numbers)
 
 
+MEASURED = ("bmi", "skin", "insulin", "glucose")
+
+
+def health_features(df: DataFrame) -> DataFrame:
+    """Weight, age and glucose bands, their combinations, the insulin flag and two products.
+
+    Ages below 21 have no band, and neither has what is combined with them.
+    """
+    age = F.when(F.col("age") >= 21, c.range_label("age", [50], ["mature", "senior"], "left"))
+    bands = ["Underweight", "Healthy", "Overweight", "Obese"]
+    sugar = c.range_label("glucose", [70, 100, 125], ["low", "normal", "hidden", "high"], "left")
+    weight = cut(F.col("bmi"), [0.0, 18.5, 24.9, 29.9, float("inf")], bands)
+    return df.withColumns(
+        {
+            "bmi_category": weight,
+            "age_category": age,
+            "glucose_category": cut(
+                F.col("glucose"), [0.0, 140.0, 200.0, 300.0], ["Normal", "Prediabetes", "Diabetes"]
+            ),
+            "age_bmi": c.cross_label(F.lower(weight), age),
+            "age_glucose": c.cross_label(sugar, age),
+            "insulin_score": c.range_flag("insulin", 16, 166),
+            "glucose_insulin": c.interact("glucose", "insulin"),
+            "glucose_pregnancies": c.interact("glucose", "pregnancies"),
+        }
+    )
+
+
+def health_table(df: DataFrame, key: str = "id", target: str = "outcome") -> DataFrame:
+    """A zero measurement is missing: impute it by regression, clip outliers, derive features."""
+    df = zero_to_null(df, list(MEASURED))
+    df = regression_impute_all(df, MEASURED, target, exclude=[key])
+    numbers = [x for x in numeric_columns(df) if x not in (key, target)]
+    return health_features(clip_outliers(df, outlier_thresholds(df, numbers, 0.05, 0.95)))
+
+
+TENURE_YEARS = ("0-1 Year", "1-2 Year", "2-3 Year", "3-4 Year", "4-5 Year", "5-6 Year")
+SERVICES = ("backup", "protection", "support", "tv", "movies")
+
+
+def churn_features(df: DataFrame, services: tuple[str, ...] = SERVICES) -> DataFrame:
+    """Charge level, tenure band, engagement and service flags, and charge ratios.
+
+    Charges that are no number become the median of those that are.
+    """
+    df = df.withColumn("total_charges", c.to_numeric("total_charges"))
+    df = fill_numeric(df, ["total_charges"], "median")
+    df = qcut(df, "monthly_charges", 3, ["low", "medium", "high"], out="charges_level")
+    engaged = c.flag_in("contract", ["One year", "Two year"])
+    average = c.ratio("total_charges", F.col("tenure") + 1)
+    protected = ["backup", "protection", "support"]
+    return df.withColumns(
+        {
+            "churned": c.yes_flag("churn"),
+            "tenure_year": c.range_label("tenure", [12, 24, 36, 48, 60], TENURE_YEARS),
+            "engaged": engaged,
+            "no_prot": (c.count_equal(protected, "Yes") < len(protected)).cast("int"),
+            "young_not_engaged": (c.is_value("senior", 0) & (engaged == 0)).cast("int"),
+            "services": c.count_equal(services, "Yes"),
+            "any_streaming": (c.count_equal(["tv", "movies"], "Yes") > 0).cast("int"),
+            "auto_payment": c.flag_contains("payment", "(automatic)"),
+            "avg_charge": average,
+            "increase": c.ratio(average, "monthly_charges"),
+            "service_fee": c.ratio("monthly_charges", c.count_equal(services, "Yes") + 1),
+        }
+    )
+
+
 def judge(df: DataFrame, key: str, target: str, trees: int = 100, seed: int = 42) -> DataFrame:
     """Fit a forest on 70 percent of the complete rows and score it on the rest."""
     rows = settle(df.na.drop())
