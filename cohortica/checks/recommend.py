@@ -168,7 +168,7 @@ def arl_recommend(spark, sf):
 )
 def shelf_recommend(spark, sf):
     lines = settle(load(spark, sf, "fx_retail"))
-    found = settle(basket_rules(lines, "NATION_7", min_support=0.005))
+    found = settle(basket_rules(lines, "NATION_7", min_support=0.005, max_len=3))
     wanted = table(spark, sf, "part").select(
         F.concat_ws("_", "p_brand", "p_type").alias("stock_code")
     )

@@ -58,8 +58,10 @@ def invoice_presence(
     )
 
 
-def frequent_itemsets(items: DataFrame, min_support: float, max_len: int = 3) -> DataFrame:
-    """Itemsets of up to ``max_len`` items held by at least ``min_support`` of the baskets.
+def frequent_itemsets(
+    items: DataFrame, min_support: float, max_len: int | None = None
+) -> DataFrame:
+    """Itemsets held by at least ``min_support`` of the baskets, of up to ``max_len`` items if given.
 
     ``items`` has one row per basket and item. Items that are not frequent alone are dropped
     first, so the baskets that FP-growth gets hold only frequent items.
@@ -78,7 +80,10 @@ def frequent_itemsets(items: DataFrame, min_support: float, max_len: int = 3) ->
     # The support is given among the baskets that are left, half a basket below the limit.
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / held))
     found = model.setNumPartitions(parallelism(items.sparkSession, -(-held // 10_000))).fit(kept).freqItemsets
-    return found.where((F.size("items") <= max_len) & (F.col("freq") >= least)).select(
+    found = found.where(F.col("freq") >= least)
+    if max_len is not None:
+        found = found.where(F.size("items") <= max_len)
+    return found.select(
         F.sort_array("items").alias("items"),
         F.col("freq").alias("n"),
         (F.col("freq") / F.lit(baskets)).alias("support"),

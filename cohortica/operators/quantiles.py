@@ -21,6 +21,8 @@ from cohortica.session import settle
 # Most distinct values of one bracket that may come to the driver.
 FEW_VALUES = 20_000
 SKETCH_ACCURACY = 10_000
+# Quantiles sought in one pass; more columns take more passes, which keeps plans small.
+TARGETS_PER_PASS = 120
 
 
 @dataclass
@@ -59,6 +61,12 @@ def exact_quantiles(
     push down to the scan.
     """
     cols = list(dict.fromkeys(cols))
+    width = max(1, TARGETS_PER_PASS // max(1, len(probs)))
+    if len(cols) > width:
+        found: dict[str, list[float | None]] = {}
+        for at in range(0, len(cols), width):
+            found.update(exact_quantiles(df, cols[at : at + width], probs, few))
+        return found
     targets = [_Target(c, float(p)) for c in cols for p in probs]
     row = df.agg(
         *[F.count(t.value()).alias(f"n{i}") for i, t in enumerate(targets[:: len(probs)])],

@@ -28,7 +28,7 @@ def basket_rules(
     item: str = "description",
     not_products: tuple[str, ...] = ("POST",),
     min_support: float = 0.01,
-    max_len: int = 3,
+    max_len: int | None = None,
 ) -> DataFrame:
     """Clean the lines, clip quantity and price, keep one country, and mine its rules."""
     lines = drop_cancelled(drop_incomplete(lines), "invoice")

@@ -51,6 +51,12 @@ def test_quantile_that_is_a_value_is_that_value(spark):
     assert exact_quantiles(df, ["x"], [0.2], few=4)["x"] == [20 / 7]
 
 
+def test_many_columns_take_several_passes(spark):
+    df = spark.range(11).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(70)])
+    found = exact_quantiles(df, df.columns, [0.1, 0.5, 0.9])
+    assert found == {f"c{i}": [1.0 + i, 5.0 + i, 9.0 + i] for i in range(70)}
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     assert exact_quantiles(df, ["x"], [0.5]) == {"x": [None]}

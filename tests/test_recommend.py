@@ -37,6 +37,8 @@ def test_itemsets_by_brute_force(spark):
                 want[s] = want.get(s, 0) + 1
     want = {s: n for s, n in want.items() if n / len(groups) >= 0.1}
     got = baskets.frequent_itemsets(cells(spark, groups), 0.1, 3).collect()
+    more = baskets.frequent_itemsets(cells(spark, groups), 0.1)
+    assert more.where("size(items) <= 3").count() == len(got) <= more.count()
     assert {tuple(r["items"]): r["n"] for r in got} == want
     supports = {tuple(r["items"]): r["support"] for r in got}
     assert all(supports[s] <= supports[t] for s in supports for t in combinations(s, len(s) - 1) if t)
