@@ -196,10 +196,11 @@ def rating_table(spark, sf):
     return collaborative.rating_table(ratings(spark, sf), MIN_RATINGS)
 
 
-def target_user(spark, sf) -> int:
-    """The user with the most items, the smallest id of several."""
-    counts = rating_table(spark, sf).groupBy("user_id").count()
-    return counts.orderBy(F.desc("count"), "user_id").first()["user_id"]
+def table_and_target(spark, sf):
+    """The rating table, settled, and its user with the most items (the smallest id of several)."""
+    ratings_by_user = settle(rating_table(spark, sf))
+    counts = ratings_by_user.groupBy("user_id").count()
+    return ratings_by_user, counts.orderBy(F.desc("count"), "user_id").first()["user_id"]
 
 
 @query("q_rating_table", RATINGS + "select * from t", {"rating": 6})
@@ -209,7 +210,7 @@ def whole_rating_table(spark, sf):
 
 @query("q_watched", RATINGS + "select movie_id from own")
 def watched(spark, sf):
-    return collaborative.watched(rating_table(spark, sf), target_user(spark, sf))
+    return collaborative.watched(*table_and_target(spark, sf))
 
 
 @query(
@@ -219,7 +220,7 @@ def watched(spark, sf):
     f"having count(*) >= (select count(*) from own) * {OVERLAP} / 1e2",
 )
 def overlap_users(spark, sf):
-    return collaborative.overlap_users(rating_table(spark, sf), target_user(spark, sf), OVERLAP)
+    return collaborative.overlap_users(*table_and_target(spark, sf), OVERLAP)
 
 
 SIMILAR = (
@@ -233,9 +234,7 @@ SIMILAR = (
 
 
 def similar(spark, sf):
-    return collaborative.similar_users(
-        rating_table(spark, sf), target_user(spark, sf), MIN_CORR, OVERLAP
-    )
+    return collaborative.similar_users(*table_and_target(spark, sf), MIN_CORR, OVERLAP)
 
 
 @query("q_similar_users", SIMILAR + "select * from similar_users", {"corr": 6})
@@ -274,7 +273,7 @@ def user_based_recommend(spark, sf):
     {"corr": 6},
 )
 def item_correlations(spark, sf):
-    ratings_by_user = rating_table(spark, sf)
+    ratings_by_user = settle(rating_table(spark, sf))
     first = ratings_by_user.agg(F.min("movie_id")).first()[0]
     return collaborative.item_correlations(ratings_by_user, first)
 
@@ -292,6 +291,5 @@ def item_correlations(spark, sf):
     {"corr": 6},
 )
 def item_based_recommend(spark, sf):
-    return collaborative.item_based_recommend(
-        rating_table(spark, sf), ratings(spark, sf), target_user(spark, sf)
-    )
+    ratings_by_user, target = table_and_target(spark, sf)
+    return collaborative.item_based_recommend(ratings_by_user, ratings(spark, sf), target)
