@@ -109,7 +109,7 @@ def itemsets(spark, sf):
 
 
 def rules(spark, sf):
-    return baskets.association_rules(settle(itemsets(spark, sf)), "support", MIN_SUPPORT)
+    return baskets.association_rules(itemsets(spark, sf), "support", MIN_SUPPORT)
 
 
 @query(

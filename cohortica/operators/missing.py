@@ -15,7 +15,6 @@ from cohortica.operators.binning import group_transform
 from cohortica.operators.profile import distinct_counts, melt, numeric_columns, string_columns
 from cohortica.operators.quantiles import exact_quantiles
 from cohortica.operators.relational import corr_pairs
-from cohortica.session import settle
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -218,5 +217,5 @@ def regression_impute_all(
 ) -> DataFrame:
     """Impute column by column; a column filled earlier helps to fill the later ones."""
     for c in cols:
-        df = settle(regression_impute(settle(df), c, target, th, exclude, compat=compat))
+        df = regression_impute(df, c, target, th, exclude, compat=compat)
     return df

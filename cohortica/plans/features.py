@@ -70,10 +70,10 @@ def feature_table(
 ) -> DataFrame:
     """Derive, clip, fill, encode and scale, in this order; numbers end with mean 0 and spread 1.
 
-    A step whose columns depend on the data reads a settled table, so each pass over the input is
-    made once.
+    Every step adds expressions with literal statistics, so passes for statistics read the input
+    again, with the columns they need, and the table is written once in between, not per step.
     """
-    df = settle(derived_features(df))
+    df = derived_features(df)
     roles = grab_col_names(df)
     numbers = [x for x in roles.numeric if x != key]
     df = clip_outliers(df, outlier_thresholds(df, numbers, 0.05, 0.95))
@@ -82,10 +82,10 @@ def feature_table(
     df = fill_categorical(df, "mode")
     for name in binary_columns(df):
         df = label_encode(df, name)
-    df = settle(rare_encode(df, string_columns(df), rare))
+    df = rare_encode(df, string_columns(df), rare)
     counts = grab_col_names(df).distinct
     many = [x for x in roles.categorical if x in df.columns and x != target and counts[x] > 2]
-    df = settle(one_hot(df, many, drop_first=True))
+    df = one_hot(df, many, drop_first=True)
     roles = grab_col_names(df)
     useless = [x for x in useless_columns(df, distinct=roles.distinct) if x not in (key, target)]
     numbers = [x for x in roles.numeric if x not in (key, target)]
@@ -162,7 +162,7 @@ def churn_features(df: DataFrame, services: tuple[str, ...] = SERVICES) -> DataF
 
 def judge(df: DataFrame, key: str, target: str, trees: int = 100, seed: int = 42) -> DataFrame:
     """Fit a forest on 70 percent of the complete rows and score it on the rest."""
-    rows = settle(df.na.drop())
+    rows = df.na.drop()
     feats = [x for x in numeric_columns(rows) if x not in (key, target)]
     train, test = split(rows, key)
     scored = settle(
@@ -177,7 +177,7 @@ def baseline_model(
     df: DataFrame, key: str, target: str, trees: int = 100, max_levels: int = 20
 ) -> DataFrame:
     """Scores of the raw table: complete rows, text one-hot encoded, no engineered features."""
-    rows = settle(df.na.drop())
+    rows = df.na.drop()
     roles = grab_col_names(rows, car_th=max_levels)
     text = [x for x in roles.categorical if x in string_columns(rows)]
     wide = one_hot(rows.drop(*roles.cardinal), text, drop_first=True)

@@ -31,10 +31,13 @@ class Lifetime:
 def lifetime_values(
     lines: DataFrame, ref_date: str, months: int = 6, rate: float = 0.01, penalizer: float = 0.001
 ) -> Lifetime:
-    """Clean and clip the lines, fit both models, value every customer and cut into quartiles."""
+    """Clean and clip the lines, fit both models, value every customer and cut into quartiles.
+
+    The lines are read again for the fences, two columns only, rather than written a second time.
+    """
     lines = drop_cancelled(lines, "invoice")
     lines = filter_min(filter_min(lines, "quantity"), "price")
-    lines = settle(lines.where(F.col("customer_id").isNotNull()))
+    lines = lines.where(F.col("customer_id").isNotNull())
     lines = clip_outliers(
         lines, outlier_thresholds(lines, ["quantity", "price"], 0.01, 0.99, "outward")
     )

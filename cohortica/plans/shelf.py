@@ -19,7 +19,6 @@ from cohortica.operators.relational import (
     filter_min,
     lookup_name,
 )
-from cohortica.session import settle
 
 
 def basket_rules(
@@ -34,10 +33,10 @@ def basket_rules(
     lines = drop_cancelled(drop_incomplete(lines), "invoice")
     for code in not_products:
         lines = exclude(lines, "stock_code", code)
-    lines = settle(filter_min(lines, "price"))
+    lines = filter_min(lines, "price")
     lines = clip_outliers(lines, outlier_thresholds(lines, ["quantity", "price"], 0.05, 0.95))
     cells = invoice_presence(lines.where(F.col("country") == F.lit(country)), item=item)
-    return association_rules(settle(frequent_itemsets(cells, min_support, max_len)))
+    return association_rules(frequent_itemsets(cells, min_support, max_len))
 
 
 def recommend_for_codes(
