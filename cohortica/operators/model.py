@@ -90,31 +90,40 @@ def confusion(pred: DataFrame, truth: str = "truth", guess: str = "prediction")
     )
 
 
+def _metrics() -> dict[str, Column]:
+    """Metrics from the four counts; a ratio with nothing below its line is 0, or null for AUC."""
+    zero = F.lit(0.0)
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    return {
+        "accuracy": F.coalesce(F.try_divide(tp + tn, tp + fp + fn + tn), zero),
+        "recall": F.coalesce(F.try_divide(tp, tp + fn), zero),
+        "precision": F.coalesce(F.try_divide(tp, tp + fp), zero),
+        "f1": F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), zero),
+        "auc": (F.try_divide(tp, tp + fn) + F.try_divide(tn, tn + fp)) / 2,
+    }
+
+
+def scorecard(
+    pred: DataFrame,
+    truth: str = "truth",
+    guess: str = "prediction",
+    names: Sequence[str] = ("accuracy", "recall", "precision", "f1", "auc"),
+) -> DataFrame:
+    """All metrics of hard labels from one pass."""
+    metrics = _metrics()
+    return confusion(pred, truth, guess).select(*[metrics[m].alias(m) for m in names])
+
+
 def classification_metrics(
     pred: DataFrame, truth: str = "truth", guess: str = "prediction"
 ) -> DataFrame:
-    """Accuracy, recall, precision and F1; 0 where a ratio has nothing below its line."""
-    zero = F.lit(0.0)
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    return confusion(pred, truth, guess).select(
-        F.coalesce(F.try_divide(tp + tn, tp + fp + fn + tn), zero).alias("accuracy"),
-        F.coalesce(F.try_divide(tp, tp + fn), zero).alias("recall"),
-        F.coalesce(F.try_divide(tp, tp + fp), zero).alias("precision"),
-        F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), zero).alias("f1"),
-    )
+    """Accuracy, recall, precision and F1."""
+    return scorecard(pred, truth, guess, ("accuracy", "recall", "precision", "f1"))
 
 
 def roc_auc(pred: DataFrame, truth: str = "truth", guess: str = "prediction") -> DataFrame:
     """Area under the ROC curve of hard labels, the mean of both rates; null with one class."""
-    return confusion(pred, truth, guess).select(
-        (
-            (
-                F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
-                + F.try_divide(F.col("tn"), F.col("tn") + F.col("fp"))
-            )
-            / 2
-        ).alias("auc")
-    )
+    return scorecard(pred, truth, guess, ("auc",))
 
 
 def roc_auc_scores(pred: DataFrame, truth: str = "truth", score: str = "score") -> DataFrame:

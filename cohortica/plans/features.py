@@ -21,7 +21,7 @@ from cohortica.operators.missing import (
     regression_impute_all,
     zero_to_null,
 )
-from cohortica.operators.model import classification_metrics, fit_forest, predict, roc_auc, split
+from cohortica.operators.model import fit_forest, predict, scorecard, split
 from cohortica.operators.outliers import clip_outliers, outlier_thresholds
 from cohortica.operators.profile import grab_col_names, numeric_columns, string_columns
 from cohortica.operators.relational import upper_columns
@@ -161,16 +161,15 @@ def churn_features(df: DataFrame, services: tuple[str, ...] = SERVICES) -> DataF
 
 
 def judge(df: DataFrame, key: str, target: str, trees: int = 100, seed: int = 42) -> DataFrame:
-    """Fit a forest on 70 percent of the complete rows and score it on the rest."""
-    rows = df.na.drop()
+    """Fit a forest on 70 percent of the complete rows and score it on the rest.
+
+    Training makes many passes, so the rows are settled first.
+    """
+    rows = settle(df.na.drop())
     feats = [x for x in numeric_columns(rows) if x not in (key, target)]
     train, test = split(rows, key)
-    scored = settle(
-        predict(fit_forest(train, feats, target, trees=trees, seed=seed), test).select(
-            F.col(target).alias("truth"), "prediction"
-        )
-    )
-    return classification_metrics(scored).join(roc_auc(scored))
+    fitted = fit_forest(train, feats, target, trees=trees, seed=seed)
+    return scorecard(predict(fitted, test), target)
 
 
 def baseline_model(
