@@ -35,7 +35,7 @@ def replacing(*uris: str):
     paths = [opened(u)[1] for u in uris]
     system.create_dir(paths[0].rpartition("/")[0], recursive=True)
     drafts = [f"{p}.{uuid.uuid4().hex}.draft" for p in paths]
-    streams = [system.open_output_stream(d) for d in drafts]
+    streams = [system.open_output_stream(d, compression=None) for d in drafts]
     try:
         yield streams
     finally:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortica.llm.files import new_folder
 from cohortica.llm.token_files import token_table
+from cohortica.llm.warc_zstd import read_archives, with_revisits, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +34,26 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
     )
+
+
+OP10_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages
+), g as (
+  select html, max(page_id) as largest from p group by html
+)
+select page_id, cast(strlen(p.html) as bigint) as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 +
+    ((cast('0x' || substr(h, cast(5 * (i // 4) + 1 as bigint), 5) as bigint) >> cast(15 - 5 * (i % 4) as bigint)) & 31) as bigint), 1)), '')
+    as payload_digest,
+  case when page_id = largest then 'response' else 'revisit' end as record_type,
+  case when page_id <> largest then largest end as refers_to
+from p join g on p.html = g.html
+"""
+
+
+@query("op10_warc_zstd", OP10_SQL)
+def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    archives = write_archives(with_revisits(table(spark, sf_dir, "pages")), folder)
+    return read_archives(spark, folder, archives)
