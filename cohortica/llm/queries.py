@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortica.llm import quality_rules
 from cohortica.llm.files import new_folder
 from cohortica.llm.token_files import token_table
 from cohortica.llm.warc_zstd import read_archives, with_revisits, write_archives
@@ -57,3 +58,53 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
     archives = write_archives(with_revisits(table(spark, sf_dir, "pages")), folder)
     return read_archives(spark, folder, archives)
+
+
+OP4_SQL = r"""
+with d as (
+  select doc_id, coalesce(text, '') as text from documents
+), w as (
+  select doc_id, text,
+    list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') as words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from d
+), g as (
+  select doc_id, i, array_to_string(words[i : i + 4], ' ') as gram
+  from (select doc_id, words, unnest(range(1, len(words) - 3)) as i from w)
+), twice as (
+  select doc_id, i from g qualify count(*) over (partition by doc_id, gram) > 1
+), covered as (
+  select doc_id, count(distinct p) as n
+  from (select doc_id, unnest(range(i, i + 5)) as p from twice) group by doc_id
+), m as (
+  select w.doc_id, cast(len(words) as bigint) as n_words,
+    cast(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) as bigint) as word_chars,
+    cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+    cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+    cast(coalesce(covered.n, 0) as bigint) as n_repeat_words,
+    cast(len(lines) as bigint) as n_lines,
+    cast(length(regexp_replace(text, '[^!]', '', 'g')) as bigint) as n_exclaims,
+    cast(length(regexp_replace(text, '[^A-Z]', '', 'g')) as bigint) as n_upper
+  from w left join covered on w.doc_id = covered.doc_id
+), f as (
+  select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+    cast(case when n_words < 10 then 1 else 0 end
+      + case when 100 * n_repeat_words > 20 * n_words then 2 else 0 end
+      + case when 100 * n_symbols > 15 * n_words then 4 else 0 end
+      + case when 100 * n_dup_lines > 50 * n_lines then 8 else 0 end
+      + case when 2 * n_exclaims > n_words then 16 else 0 end
+      + case when n_words >= 10 and 10 * n_upper > 7 * word_chars then 32 else 0 end
+      + case when n_words >= 10 and (word_chars < 2 * n_words or word_chars > 12 * n_words) then 64 else 0 end
+      as bigint) as failures
+  from m
+)
+select *, failures = 0 as kept from f
+"""
+
+
+@query("op4_rule_ledger", OP4_SQL)
+def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    return rows.withColumns(
+        {"base_failed": ~quality_rules.passes("base-1"), "kept": quality_rules.passes()}
+    )
