@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortica.llm import quality_rules
 from cohortica.llm.files import new_folder
+from cohortica.llm.kd_shards import kd_shards
 from cohortica.llm.token_files import token_table
 from cohortica.llm.warc_zstd import read_archives, with_revisits, write_archives
 
@@ -108,3 +110,9 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns(
         {"base_failed": ~quality_rules.passes("base-1"), "kept": quality_rules.passes()}
     )
+
+
+@query("op3_kd_shards")
+def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kd_shards(table(spark, sf_dir, "documents"), shards=8)
+    return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
