@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortica.llm import quality_rules
+from cohortica.llm import quality_rules, secret_scan
 from cohortica.llm.files import new_folder
 from cohortica.llm.kd_shards import kd_shards
 from cohortica.llm.token_files import token_table
@@ -116,3 +116,19 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = kd_shards(table(spark, sf_dir, "documents"), shards=8)
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query("op9_secret_scan")
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.secrets_by_document(docs)
+    count = lambda test: F.coalesce(F.size(F.filter("all", test)), F.lit(0)).cast("long")
+    kind = lambda name: count(lambda x: x["kind"] == name)
+    return docs.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id",
+        kind("assign").alias("n_assign"), kind("access").alias("n_access"), kind("hex").alias("n_hex"),
+        F.sha2(secret_scan.joined("base"), 256).alias("base_sha256"),
+        secret_scan.joined("all").alias("spans"),
+        count(lambda x: x["verdict"] == "live").alias("n_live"),
+        count(lambda x: x["verdict"] == "copied").alias("n_copied"),
+    )
