@@ -16,7 +16,6 @@ document is then a slice of one memory-mapped file.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,46 +27,100 @@ from cohortica.llm.files import mapped, new_folder, replacing
 
 # The end of a document.
 END_ID = 2
-# Distinct chunks whose ids a worker remembers.
-REMEMBERED = 400_000
-# Text a part should hold, in bytes.
-PART_BYTES = 64 << 20
-
-_CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
+# Distinct chunks whose ids a worker remembers, twice over.
+REMEMBERED = 500_000
 _encoders: dict[str, ChunkEncoder] = {}
 
 
 class ChunkEncoder:
     """Ids of whole texts, from the ids of their chunks between ASCII white space.
 
-    Only for tokenizers that never join characters across white space and keep none of it: then the
-    ids of a text are the ids of its chunks one after the other, and a chunk seen before need not
-    be encoded again. ``test_token_files.py`` holds this against encoding whole texts.
+    Only for tokenizers that never join characters across white space, keep none of it, lower-case,
+    part letters from punctuation and mark the last token of a piece, as the CLIP vocabulary does:
+    then the ids of a text are those of its chunks one after the other, and a chunk seen before need
+    not be encoded again. A new chunk of Latin letters and closing punctuation is taken apart there,
+    so that a word is encoded once whatever its case and what follows it, and new words are encoded
+    many at a time; any other chunk is encoded by itself. ``test_token_files.py`` holds all this
+    against encoding whole texts.
     """
 
+    # Punctuation that the tokenizer keeps together and parts from letters before it.
+    CLOSING = ".,;:!?*#$%&|)"
+    # Letters below this one are composed already and have a lower case of one letter.
+    BEYOND = "\u0130"
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark hands out the cores
+        import numpy as np
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = id_type(len(vocabulary))
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def encode(self, text: bytes) -> bytes:
+        """The ids of a text in UTF-8, packed."""
+        chunks = text.split()  # of bytes: at ASCII white space only
+        found = [self.known.get(c) for c in chunks]
+        if None in found:
+            self._learn({c for c, f in zip(chunks, found, strict=True) if f is None})
+            found = [self.known[c] if f is None else f for c, f in zip(chunks, found, strict=True)]
+        return b"".join(found)
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        if len(self.known) > REMEMBERED:  # what is in use moves over again from the older half
+            self.older, self.known = self.known, {}
+        if len(self.words) > REMEMBERED:
+            self.words = {}
+        split: list[tuple[bytes, str, str]] = []
+        for chunk in chunks:
+            ids = self.older.get(chunk)
+            if ids is None:
+                whole = chunk.decode()
+                word = whole.rstrip(self.CLOSING)
+                if word.isalpha() and max(word) < self.BEYOND:
+                    split.append((chunk, word.lower(), whole[len(word) :]))
+                    continue
+                ids = self._alone(whole)
+            self.known[chunk] = ids
+        self._encode_words(list({w for _, w, _ in split if w not in self.words}))
+        for chunk, word, closing in split:
+            ids = self.words[word]
+            if closing:
+                if closing not in self.words:
+                    self.words[closing] = self._alone(closing)
+                ids += self.words[closing]
+            self.known[chunk] = ids
+
+    def _alone(self, text: str) -> bytes:
+        import numpy as np
 
-    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _encode_words(self, words: list[str]) -> None:
         import numpy as np
 
-        chunks = _CHUNK.findall(text)
-        known = self.known
-        fresh = list({c for c in chunks if c not in known})
-        if fresh:
-            if len(known) + len(fresh) > REMEMBERED:
-                known.clear()
-                fresh = list(set(chunks))
-            for c, e in zip(
-                fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True
-            ):
-                known[c] = np.array(e.ids, self.dtype).tobytes()
-        return b"".join([known[c] for c in chunks])
+        if not words:
+            return
+        (encoded,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(encoded.ids, self.dtype)
+        ends = (np.flatnonzero(self.last[ids]) + 1) * ids.itemsize
+        if len(ends) != len(words):
+            raise ValueError("this tokenizer does not end every word with a token of its own")
+        data, start = ids.tobytes(), 0
+        for word, end in zip(words, ends.tolist(), strict=True):
+            self.words[word] = data[start:end]
+            start = end
+
+
+def id_type(size: int) -> str:
+    """The narrowest unsigned type for a vocabulary."""
+    return "<u2" if size <= 1 << 16 else "<u4"
 
 
 def encoder(path: str) -> ChunkEncoder:
@@ -127,7 +180,7 @@ def write_token_files(
         with replacing(*names) as (ids, ids_of, lengths):
             for batch in batches:
                 sizes = []
-                for text in batch.column(1):
+                for text in batch.column(1).cast(pa.large_binary()):
                     data = code.encode(text.as_py())
                     ids.write(data)
                     ids.write(end)
@@ -150,7 +203,7 @@ def write_token_files(
 
     size = Tokenizer.from_file(tokenizer).get_vocab_size()
     files = TokenFiles(
-        folder, "<u2" if size <= 1 << 16 else "<u4",
+        folder, id_type(size),
         tuple(sorted((r.part, r.docs, r.tokens) for r in made)),
     )
     _write_offsets(spark, files)
