@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortica.llm import quality_rules, secret_scan
+from cohortica.llm import quality_model, quality_rules, secret_scan
 from cohortica.llm.files import new_folder
 from cohortica.llm.kd_shards import kd_shards
 from cohortica.llm.token_files import token_table
@@ -132,3 +132,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(lambda x: x["verdict"] == "live").alias("n_live"),
         count(lambda x: x["verdict"] == "copied").alias("n_copied"),
     )
+
+
+@query("op5_boosted_quality")
+def op5_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.select(
+        "doc_id", quality_model.held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
