@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cohortica.llm import quality_model, quality_rules, secret_scan
 from cohortica.llm.files import new_folder
 from cohortica.llm.kd_shards import kd_shards
+from cohortica.llm.near_duplicates import near_duplicates
 from cohortica.llm.token_files import token_table
 from cohortica.llm.warc_zstd import read_archives, with_revisits, write_archives
 
@@ -141,3 +142,8 @@ def op5_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality_model.held_out().alias("held_out"), "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query("op8_superminhash")
+def op8_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
