@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortica.llm import quality_model, quality_rules, secret_scan
+from cohortica.llm.decontaminate import contaminated
 from cohortica.llm.files import new_folder
 from cohortica.llm.kd_shards import kd_shards
 from cohortica.llm.near_duplicates import near_duplicates
@@ -147,3 +148,8 @@ def op5_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_superminhash")
 def op8_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+@query("op2_bm25_wand")
+def op2_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

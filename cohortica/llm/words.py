@@ -55,9 +55,13 @@ class Words:
 
 
 class WordReader:
-    """Cuts texts into words and hashes them; ``breaks`` are the bytes between words."""
+    """Cuts texts into words and hashes them; ``breaks`` are the bytes between words.
 
-    def __init__(self, breaks: bytes = SPACE, fold: bool = True):
+    ``fold`` lower-cases A-Z, ``latin`` also the capitals with accents up to U+00DE.
+    """
+
+    def __init__(self, breaks: bytes = SPACE, fold: bool = True, latin: bool = False):
+        self.latin = latin
         self.inside = np.ones(256, bool)
         self.inside[list(breaks)] = False
         folded = np.arange(256)
@@ -67,6 +71,11 @@ class WordReader:
 
     def read(self, data: np.ndarray, offsets: np.ndarray, first: int = 0) -> Words:
         """``data[offsets[i]:offsets[i+1]]`` is text ``i`` in UTF-8."""
+        if self.latin and len(data):
+            capital = (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
+            capital[1:] &= data[:-1] == 0xC3
+            capital[0] = False
+            data = data + (capital.astype(np.uint8) << 5)
         inside = self.inside[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True
