@@ -12,6 +12,7 @@ from cohortica.llm import quality_model, quality_rules, secret_scan
 from cohortica.llm.decontaminate import contaminated
 from cohortica.llm.files import new_folder
 from cohortica.llm.kd_shards import kd_shards
+from cohortica.llm.mixing import mixed_rates
 from cohortica.llm.near_duplicates import near_duplicates
 from cohortica.llm.token_files import token_table
 from cohortica.llm.warc_zstd import read_archives, with_revisits, write_archives
@@ -153,3 +154,8 @@ def op8_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_bm25_wand")
 def op2_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_soft_mixing")
+def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
