@@ -7,10 +7,9 @@
    can fall any more. Runs of ``ROWS`` slots are bands; equal bands make two documents candidates.
 3. Within a bucket of equal bands all members are checked against its first member (on full sets).
    The links found give preliminary components.
-4. Pairs that this leaves open, in buckets whose other members still belong to several components,
-   are checked in blocks of bounded size, each pair in the first band the two share only, and no
-   further once the two are known to be connected. So no pair that shares a band is left out, and
-   no list of all pairs is ever written.
+4. Pairs that share a band and are still in different components are checked in blocks of bounded
+   size under their common first member, and no further once the two are known to be connected. So
+   no pair that shares a band is left out, and no list of all pairs is ever written.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ ROWS = 6
 SLOTS = BANDS * ROWS
 PERCENT = 80
 SHINGLE = 5
-# Members of a bucket that are compared with as many others in one task.
+# Members under one hub that are compared with as many others in one task.
 BLOCK = 256
 # Bytes of text taken at a time: the permutations of their shingles are held in memory.
 PIECE = 1 << 18
@@ -176,38 +175,38 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return table.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def _open_pairs(buckets: DataFrame, hubs: DataFrame, known: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between members of one bucket that are still in different components (step 4)."""
-    members = (
-        buckets.join(hubs.where("members > 2"), "key")
-        .where("doc_id <> hub")
-        .select("key", "band", "doc_id")
+def _open_pairs(stars: DataFrame, known: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between documents that share a band and are still in different components (step 4).
+
+    Documents that share a band share the first member of that bucket, so they meet under that
+    member (the hub), once however many bands they share.
+    """
+    members = settle(
+        stars.select(F.col("v").alias("hub"), F.col("u").alias("doc_id"))
         .join(known, F.col("doc_id") == F.col("node"), "left")
-        .select("key", "band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        .select("hub", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     )
-    members = settle(members)
-    parts = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
-    mixed_keys = (
-        parts.groupBy("key")
+    parts = members.groupBy("hub", "component").agg(F.count(F.lit(1)).alias("size"))
+    open_hubs = (
+        parts.groupBy("hub")
         .agg(F.count(F.lit(1)).alias("parts"), F.sum("size").alias("members"), F.max(F.struct("size", "component")).alias("largest"))
         .where("parts > 1")
-        .select("key", F.col("largest.component").alias("largest"), F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+        .select("hub", F.col("largest.component").alias("largest"), F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     )
-    rows = members.join(mixed_keys, "key").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    # Members outside the largest component, in their block, meet every block of the bucket.
+    rows = members.join(open_hubs, "hub").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    # Members outside the largest component, in their block, meet every block under the hub.
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     left = rows.where("component <> largest").select(
-        "key", "band", "doc_id", "component", F.lit(True).alias("outer"), F.col("block").alias("i"), F.explode(every).alias("j")
+        "hub", "doc_id", "component", F.lit(True).alias("outer"), F.col("block").alias("i"), F.explode(every).alias("j")
     )
     right = rows.select(
-        "key", "band", "doc_id", "component", F.lit(False).alias("outer"), F.explode(every).alias("i"), F.col("block").alias("j")
+        "hub", "doc_id", "component", F.lit(False).alias("outer"), F.explode(every).alias("i"), F.col("block").alias("j")
     )
     table = left.union(right).join(reps.select("doc_id", "bands"), "doc_id").join(sets, "doc_id")
 
     def check(group):
         import pandas as pd
 
-        band = int(group["band"].iloc[0])
         found = UnionFind()
         ids, parts = group["doc_id"].to_numpy(), group["component"].to_numpy()
         for d, c in zip(ids.tolist(), parts.tolist(), strict=True):
@@ -224,8 +223,7 @@ def _open_pairs(buckets: DataFrame, hubs: DataFrame, known: DataFrame, reps: Dat
             for a in outer:
                 low, high = np.minimum(sizes[a], sizes[inner]), np.maximum(sizes[a], sizes[inner])
                 maybe = (ids[inner] != ids[a]) & (100 * low >= percent * high)
-                if band:
-                    maybe &= ~(bands[inner, :band] == bands[a, :band]).any(1)
+                maybe[maybe] = (bands[inner[maybe]] == bands[a]).any(1)
                 if not maybe.any():
                     continue
                 at = np.minimum(np.searchsorted(items[a], pool), sizes[a] - 1)
@@ -236,7 +234,7 @@ def _open_pairs(buckets: DataFrame, hubs: DataFrame, known: DataFrame, reps: Dat
                         out.append((ids[a], ids[b]))
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    return table.groupBy("key", "i", "j").applyInPandas(check, "u long, v long")
+    return table.groupBy("hub", "i", "j").applyInPandas(check, "u long, v long")
 
 
 def near_duplicates(
@@ -260,28 +258,26 @@ def near_duplicates(
         .select("doc_id", "n", "bands")
         .dropDuplicates(["doc_id", "n"])
     )
-    buckets = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    hubs = settle(
-        buckets.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count_distinct("doc_id").alias("members")).where("members > 1")
+    buckets = reps.select("doc_id", F.explode("bands").alias("key"))
+    hubs = (
+        buckets.groupBy("key").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("last")).where("v < last").drop("last")
     )
-    sizes = reps.select("doc_id", "n")
-    shared = settle(buckets.join(hubs.select("key"), "key"))
-    pairs = (
-        shared.join(hubs, "key").where("doc_id <> hub").select(F.col("doc_id").alias("u"), F.col("hub").alias("v")).distinct()
+    stars = settle(
+        buckets.join(hubs, "key").where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct()
     )
-    pairs = (
-        pairs.join(sizes.select(F.col("doc_id").alias("u"), F.col("n").alias("nu")), "u")
+    sizes = reps.select("doc_id", "n")
+    pairs = settle(
+        stars.join(sizes.select(F.col("doc_id").alias("u"), F.col("n").alias("nu")), "u")
         .join(sizes.select(F.col("doc_id").alias("v"), F.col("n").alias("nv")), "v")
         .where(100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv"))
         .select("u", "v")
     )
-    pairs = settle(pairs)
-    wanted = small_side(shared.select("doc_id").distinct())
+    wanted = small_side(stars.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct())
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sets = settle(full_sets(texts.join(wanted, "doc_id"), shingle))
     links = settle(_verified(pairs, sets, percent))
     known = settle(components(links))
-    more = settle(_open_pairs(shared, hubs, known, reps, sets, percent))
+    more = settle(_open_pairs(stars, known, reps, sets, percent))
     named = components(links.union(more)) if more.count() else known
     classes = first.join(named, F.col("rep") == F.col("node"), "left").select(
         "high", "low", "n", F.coalesce("component", "rep").alias("component_id"), (F.col("copies") > 1).alias("_several"), "rep"
@@ -291,3 +287,10 @@ def near_duplicates(
         "doc_id", F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` that stand for their group of near copies, with their columns: those
+    with the smallest id, rows with a null id, and texts without words."""
+    gone = settle(near_duplicates(docs, id_col=id_col, **options).where("not kept").select(F.col("doc_id").alias("_id")))
+    return docs.join(small_side(gone.distinct()), F.col(id_col) == F.col("_id"), "left_anti")
