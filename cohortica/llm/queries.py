@@ -14,6 +14,7 @@ from cohortica.llm.files import new_folder
 from cohortica.llm.kd_shards import kd_shards
 from cohortica.llm.mixing import mixed_rates
 from cohortica.llm.near_duplicates import near_duplicates
+from cohortica.llm.repeated_passages import repeated_passages
 from cohortica.llm.token_files import token_table
 from cohortica.llm.warc_zstd import read_archives, with_revisits, write_archives
 
@@ -159,3 +160,8 @@ def op2_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_soft_mixing")
 def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_chained_passages")
+def op7_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
