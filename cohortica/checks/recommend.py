@@ -11,7 +11,6 @@ from cohortica.plans.shelf import basket_rules, recommend_for_codes
 from cohortica.session import settle
 
 MIN_SUPPORT = 0.004
-MIN_RATINGS = 2200
 OVERLAP = 60
 MIN_CORR = 0.3
 MIN_SCORE = 1.2
@@ -60,36 +59,39 @@ def invoice_presence(spark, sf):
 
 
 def itemsets_sql(cells: str, min_support: float) -> str:
-    """Table ``sets`` from the table ``cells`` with one row per basket and item."""
+    """Table ``sets`` from the table ``cells`` with one row per basket and item: frequent sets of
+    any size, each grown from a frequent set by a later item."""
     return (
         f"total as (select count(distinct basket) as baskets from {cells}), "
-        f"one as (select [item] as items, count(*) as n from {cells} group by item), "
-        f"pairs as (select [a.item, b.item] as items, count(*) as n from {cells} a join {cells} b "
-        "on a.basket = b.basket and a.item < b.item group by a.item, b.item), "
-        f"triples as (select [a.item, b.item, c.item] as items, count(*) as n from {cells} a "
-        f"join {cells} b on a.basket = b.basket and a.item < b.item "
-        f"join {cells} c on a.basket = c.basket and b.item < c.item "
-        "group by a.item, b.item, c.item), "
-        "sets as (select items, n, n::double / baskets as support from (select * from one "
-        "union all select * from pairs union all select * from triples), total "
-        f"where n::double / baskets >= {min_support}::double) "
+        "held as (select basket, [item] as items from "
+        f"(select *, count(*) over (partition by item) as n from {cells}), total "
+        f"where n::double / baskets >= {min_support}::double "
+        "union all select basket, items from (select h.basket, list_append(h.items, c.item) as items, "
+        "count(*) over (partition by list_append(h.items, c.item)) as n "
+        f"from held h join {cells} c on h.basket = c.basket and c.item > h.items[-1]), total "
+        f"where n::double / baskets >= {min_support}::double), "
+        "sets as (select items, count(*) as n, count(*)::double / any_value(baskets) as support "
+        "from held, total group by items) "
     )
 
 
+# Every set of two or more items is split by every mask that leaves neither side empty.
 RULES_FROM_SETS = (
-    ", splits as (select [items[1]] as antecedent, items[2:] as consequent, support from sets "
-    "where len(items) >= 2 union all select items[2:], [items[1]], support from sets "
-    "where len(items) >= 2 union all select [items[2]], [items[1], items[3]], support from sets "
-    "where len(items) = 3 union all select [items[1], items[3]], [items[2]], support from sets "
-    "where len(items) = 3 union all select [items[3]], items[:2], support from sets "
-    "where len(items) = 3 union all select items[:2], [items[3]], support from sets "
-    "where len(items) = 3), "
+    ", masks as (select items, support, unnest(range(1, (1 << len(items)) - 1)) as mask from sets "
+    "where len(items) >= 2), "
+    "splits as (select list_filter(items, lambda x, i: (mask >> cast(i - 1 as bigint)) & 1 = 1) as antecedent, "
+    "list_filter(items, lambda x, i: (mask >> cast(i - 1 as bigint)) & 1 = 0) as consequent, support from masks), "
     "rules as (select antecedent, consequent, s.support, s.support / a.support as confidence, "
     "s.support / a.support / c.support as lift from splits s join sets a "
     "on s.antecedent = a.items join sets c on s.consequent = c.items) "
 )
 
-ITEMSETS = (
+
+def recursive(sql: str) -> str:
+    return sql.replace("with ", "with recursive ", 1)
+
+
+ITEMSETS = recursive(
     with_fixture("fx_baskets").rstrip() + ", " + itemsets_sql("fx_baskets", MIN_SUPPORT)
 )
 RULES = ITEMSETS + RULES_FROM_SETS
@@ -105,7 +107,7 @@ PICKS = (
 
 
 def itemsets(spark, sf):
-    return baskets.frequent_itemsets(load(spark, sf, "fx_baskets"), MIN_SUPPORT, 3)
+    return baskets.frequent_itemsets(load(spark, sf, "fx_baskets"), MIN_SUPPORT)
 
 
 def rules(spark, sf):
@@ -150,7 +152,7 @@ def arl_recommend(spark, sf):
 
 @query(
     "q_shelf_recommend",
-    with_fixture("fx_retail").rstrip()
+    recursive(with_fixture("fx_retail")).rstrip()
     + ", cells as (select distinct invoice as basket, description as item from fx_retail "
     "where customer_id is not null and not contains(invoice, 'C') and price > 0 "
     "and quantity > 0 and country = 'NATION_7'), "
@@ -168,7 +170,7 @@ def arl_recommend(spark, sf):
 )
 def shelf_recommend(spark, sf):
     lines = settle(load(spark, sf, "fx_retail"))
-    found = settle(basket_rules(lines, "NATION_7", min_support=0.005, max_len=3))
+    found = settle(basket_rules(lines, "NATION_7", min_support=0.005))
     wanted = table(spark, sf, "part").select(
         F.concat_ws("_", "p_brand", "p_type").alias("stock_code")
     )
@@ -181,7 +183,8 @@ def shelf_recommend(spark, sf):
 RATINGS = (
     with_fixture("fx_ratings").rstrip()
     + ", t as (select user_id, movie_id, avg(rating) as rating from fx_ratings where movie_id in "
-    f"(select movie_id from fx_ratings group by movie_id having count(*) >= {MIN_RATINGS}) "
+    "(select movie_id from fx_ratings group by movie_id having count(*) >= (select "
+    "quantile_disc(n, 0.5) from (select count(*) as n from fx_ratings group by movie_id))) "
     "group by user_id, movie_id), target as (select user_id from t group by user_id "
     "order by count(*) desc, user_id limit 1), own as (select movie_id, rating as mine from t "
     "where user_id = (select user_id from target)) "
@@ -193,7 +196,10 @@ def ratings(spark, sf):
 
 
 def rating_table(spark, sf):
-    return collaborative.rating_table(ratings(spark, sf), MIN_RATINGS)
+    """Items with at least as many ratings as the median item has."""
+    counts = ratings(spark, sf).groupBy("movie_id").count()
+    median = counts.agg(F.expr("percentile_disc(0.5) within group (order by count)")).first()[0]
+    return collaborative.rating_table(ratings(spark, sf), int(median or 0))
 
 
 def table_and_target(spark, sf):

@@ -387,13 +387,16 @@ def join_natural(spark, sf):
     with_fixture("fx_ratings")
     + ", r as (select user_id, case when user_id % 50 = 0 then null else movie_id end as movie_id "
     "from fx_ratings) select movie_id, count(*) as n from r where movie_id is null or movie_id in "
-    "(select movie_id from r group by movie_id having count(*) >= 2200) group by movie_id",
+    "(select movie_id from r group by movie_id having count(*) >= (select quantile_disc(n, 0.5) from "
+    "(select count(*) as n from r group by movie_id))) group by movie_id",
 )
 def drop_rare_items(spark, sf):
     ratings = load(spark, sf, "fx_ratings").select(
         "user_id", F.when(F.col("user_id") % 50 != 0, F.col("movie_id")).alias("movie_id")
     )
-    kept = relational.drop_rare_items(ratings, "movie_id", 2200)
+    counts = ratings.groupBy("movie_id").count()
+    median = counts.agg(F.expr("percentile_disc(0.5) within group (order by count)")).first()[0]
+    kept = relational.drop_rare_items(ratings, "movie_id", int(median or 0))
     return kept.groupBy("movie_id").agg(F.count(F.lit(1)).alias("n"))
 
 

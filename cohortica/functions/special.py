@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from statistics import NormalDist
 from types import SimpleNamespace
 
 import numpy as np
@@ -131,41 +130,59 @@ def normal_two_sided(z: float) -> float:
 
 
 def normal_upper(z: float) -> float:
-    return 1 - NormalDist().cdf(z)
-
-
-def incomplete_beta(a: float, b: float, x: float) -> float:
-    """Regularized incomplete beta function by its continued fraction (modified Lentz)."""
-    if x <= 0 or x >= 1:
-        return float(x >= 1)
-    if x > (a + 1) / (a + b + 2):
-        return 1 - incomplete_beta(b, a, 1 - x)
-    front = math.exp(
-        math.lgamma(a + b)
-        - math.lgamma(a)
-        - math.lgamma(b)
-        + a * math.log(x)
-        + b * math.log1p(-x)
-    )
-    tiny = 1e-300
-    c, d = 1.0, 1 / max(1 - (a + b) * x / (a + 1), tiny)
-    total = d
-    for m in range(1, 500):
-        for step in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
-        ):
-            d = 1 / ((1 + step * d) or tiny)
-            c = (1 + step / c) or tiny
-            total *= c * d
-        if abs(c * d - 1) < 1e-15:
-            break
-    return front * total / a
+    return math.erfc(z / math.sqrt(2)) / 2
+
+
+def _ln_gamma_ratio(a: float, b: float) -> float:
+    """ln of Gamma(a + b) / (Gamma(a) a**b), without cancellation for large ``a``."""
+    if a < 20:
+        return math.lgamma(a + b) - math.lgamma(a) - b * math.log(a)
+
+    def rest(z: float) -> float:
+        return sum(c / z ** (2 * k + 1) for k, c in enumerate(STIRLING))
+
+    return (a + b - 0.5) * math.log1p(b / a) - b + rest(a + b) - rest(a)
+
+
+# Gauss-Legendre points on a panel.
+_NODES, _WEIGHTS = np.polynomial.legendre.leggauss(24)
+
+
+def beta_tail(a: float, b: float, w: float) -> float:
+    """Regularized incomplete beta function I_x(a, b) at ``x = exp(-w)``.
+
+    With ``s = a w`` it is the integral of ``exp(-s) g(s)**(b - 1)`` from ``a w`` on, over a constant
+    that tends to Gamma(b), where ``g(s) = a (1 - exp(-s / a))`` tends to ``s``. So nothing cancels
+    however large ``a`` is, and the limit for ``a`` without bound is the chi-square tail. Below
+    ``s = 1`` the power series of the complement is summed, above it panels of bounded width.
+    """
+    if w <= 0:
+        return 1.0
+    if math.isinf(w):
+        return 0.0
+    ratio, start = _ln_gamma_ratio(a, b), a * w
+    if start < 1:
+        y = -math.expm1(-w)
+        term, total = 1.0, 1 / b
+        for n in range(1, 10_000):
+            term *= (n - a) / n * y
+            total += term / (b + n)
+            if abs(term) <= 1e-17 * abs(total) * (b + n):
+                return 1 - math.exp(ratio + b * math.log(a * y) - math.lgamma(b)) * total
+        raise ArithmeticError(f"the series has not converged at a={a}, b={b}, w={w}")
+    last = max(start, b) + 60 + 12 * math.sqrt(2 * b)
+    panels = np.linspace(0, math.sqrt(last - start), 2 + int(2 * math.sqrt(last - start)))
+    half = np.diff(panels)[:, None] / 2
+    y = panels[:-1, None] + half * (1 + _NODES)
+    s = start + y**2
+    power = (b - 1) * np.log(-a * np.expm1(-s / a))
+    values = np.exp(ratio - math.lgamma(b) + power - s) * 2 * y
+    return float(min(1.0, (values * _WEIGHTS * half).sum()))
 
 
 def t_two_sided(t: float, df: float) -> float:
-    return incomplete_beta(df / 2, 0.5, df / (df + t * t))
+    return beta_tail(df / 2, 0.5, math.log1p(t * t / df))
 
 
 def f_upper(f: float, df1: float, df2: float) -> float:
-    return incomplete_beta(df2 / 2, df1 / 2, df2 / (df2 + df1 * f))
+    return beta_tail(df2 / 2, df1 / 2, math.log1p(df1 * f / df2)) if f > 0 else 1.0

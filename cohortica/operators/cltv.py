@@ -130,7 +130,7 @@ def _minimize(
     """Damped Newton steps on finite differences; each call of ``evaluate`` is one Spark job.
 
     The job that tries the steps also evaluates the points around the full step, so an iteration
-    that takes the full step needs no second job.
+    that takes the full step needs no second job. Raises if ``steps`` do not get to a minimum.
     """
     n, h = len(start), 1e-3
     unit = np.eye(n) * h
@@ -160,15 +160,15 @@ def _minimize(
         best = int(np.nanargmin(others))
         gain = f[0] - np.nanmin([at_full[0], others[best]])
         if not gain > 0:
-            break
+            return theta
         if at_full[0] <= others[best]:
             theta, f = full, at_full
         else:
             theta = tries[best]
             f = evaluate(theta + around) if gain >= 1e-6 else f
         if gain < 1e-6:
-            break
-    return theta
+            return theta
+    raise ArithmeticError(f"the fit has not converged in {steps} steps, last gain {gain:.3g}")
 
 
 def _fit(
@@ -259,16 +259,23 @@ def fit_gamma_gamma(base: DataFrame, penalizer: float = 0.001) -> GammaGamma:
 # Predictions
 
 
+# Terms of the hypergeometric series after which it is an error not to have converged.
+TERMS = 2_000_000
+
+
 def _gauss_series(a: float, b: float, c: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """Gauss's 2F1(a, b; c; z) for 0 <= z < 1, summed until no term matters."""
+    """Gauss's 2F1(a, b; c; z) for 0 <= z < 1, summed until no term matters.
+
+    Raises where that takes more than TERMS terms (z very near 1 with a + b > c).
+    """
     term = np.ones_like(z)
     total = np.ones_like(z)
-    for k in range(100_000):
+    for k in range(TERMS):
         term = term * ((a + k) * (b + k) / ((c + k) * (k + 1.0))) * z
         total += term
         if not np.any(np.abs(term) > 1e-16 * np.abs(total)):
-            break
-    return total
+            return total
+    raise ArithmeticError(f"2F1({a}, {b}; c; z) has not converged in {TERMS} terms")
 
 
 def expected_purchases(

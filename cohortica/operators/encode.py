@@ -40,9 +40,9 @@ def _label_encode_wide(df: DataFrame, col: str, out: str) -> DataFrame:
     levels = df.where(F.col(col).isNotNull()).select(col).distinct()
     codes = global_rank(levels, [col], "_code")
     n = codes.count()
-    names = [c for c in df.columns if c != out]
     code = F.coalesce(F.col("_code") - 1, F.lit(n)).cast("int").alias(out)
-    return df.join(codes, col, "left").select(*names, code)
+    names = df.columns if out in df.columns else [*df.columns, out]
+    return df.join(codes, col, "left").select(*[code if c == out else c for c in names])
 
 
 def label_decode(df: DataFrame, code: str, levels: Sequence, out: str) -> DataFrame:
