@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortica.llm.rows import without
 from cohortica.llm.words import PUNCTUATION, SPACE, WordReader, windows
 
 # Window of a training text and its step, in words; a test passage has at most ITEM_WORDS words, so
@@ -329,7 +330,4 @@ def contaminated(
 
 def decontaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose text holds no test item, with their columns."""
-    from cohortica.session import settle, small_side
-
-    bad = settle(contaminated(docs, items, **options)).select("doc_id").distinct()
-    return docs.join(small_side(bad), "doc_id", "left_anti")
+    return without(docs, contaminated(docs, items, **options).select("doc_id"), options.get("id_col", "doc_id"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortica.llm.quality_model import FEATURES, Trees, fit_trees, statistics, word_reader
+from cohortica.llm.rows import wrapped
 from cohortica.session import settle, small_side
 
 # Domains of the labelled table, in order; the first that holds is a row's domain.
@@ -293,10 +294,11 @@ def mixed_rates(
 def mixed_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     rates = mixed_rates(docs, labels, id_col=id_col, **options)
-    odd = settle(rates.where("copies <> 1").select(F.col("doc_id").alias("_id"), "copies").distinct())
-    names = docs.columns
+    odd = rates.where("copies <> 1").select(F.col("doc_id").alias("key"), "copies").distinct()
+    copies = F.coalesce("copies", F.lit(1)).cast("int")
     return (
-        docs.join(small_side(odd), F.col(id_col) == F.col("_id"), "left")
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.coalesce("copies", F.lit(1)).cast("int"))))
-        .select(*[F.col(f"`{n}`") for n in names])
+        wrapped(docs, id_col)
+        .join(small_side(odd), "key", "left")
+        .select("row", F.explode(F.array_repeat(F.lit(1), copies)))
+        .select("row.*")
     )

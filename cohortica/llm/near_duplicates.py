@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortica.llm.components import UnionFind, components
+from cohortica.llm.rows import without
 from cohortica.llm.words import WordReader, mixed, windows
 from cohortica.session import settle, small_side
 
@@ -292,5 +293,4 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that stand for their group of near copies, with their columns: those
     with the smallest id, rows with a null id, and texts without words."""
-    gone = settle(near_duplicates(docs, id_col=id_col, **options).where("not kept").select(F.col("doc_id").alias("_id")))
-    return docs.join(small_side(gone.distinct()), F.col(id_col) == F.col("_id"), "left_anti")
+    return without(docs, near_duplicates(docs, id_col=id_col, **options).where("not kept").select("doc_id"), id_col)

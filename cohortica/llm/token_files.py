@@ -3,7 +3,7 @@
 Part ``p`` of a data set is four files:
 
 * ``ids-p.bin``      token ids, little-endian, 16 bits where the vocabulary allows it, else 32
-* ``docs-p.bin``     signed 64-bit document ids, ascending
+* ``docs-p.bin``     signed 64-bit document ids, ascending; the lowest number is a null id
 * ``lengths-p.bin``  64-bit number of tokens of each document
 * ``offsets-p.bin``  64-bit start of each document in the whole data set, and the end of the last
 
@@ -27,6 +27,8 @@ from cohortica.llm.files import mapped, new_folder, replacing
 
 # The end of a document.
 END_ID = 2
+# Stands for a null id in the files.
+NO_ID = -(1 << 63)
 # Distinct chunks whose ids a worker remembers, twice over.
 REMEMBERED = 500_000
 _encoders: dict[str, ChunkEncoder] = {}
@@ -158,13 +160,13 @@ def write_token_files(
     """Encode every whole text and write the files; ``folder`` is a URI all executors can write to.
 
     Rows are range-partitioned by id, so ids ascend within and across parts. Rows with a null id
-    are an error of the caller and come first; null texts count as empty and become the end id
+    come first and are read back with a null id; null texts count as empty and become the end id
     alone. Repeated rows are written as often as they occur, in no fixed order among each other.
     An empty table writes no part. Other columns are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
     rows = rows.repartitionByRange(parts, "id") if parts else rows.repartitionByRange("id")
 
@@ -262,7 +264,7 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.asarray(docs[a:b])),
+                    pa.array(np.asarray(docs[a:b]), mask=np.asarray(docs[a:b] == NO_ID)),
                     pa.array(np.asarray(offsets[a:b])),
                     pa.array(np.diff(bounds)),
                     pa.array(sums, pa.int64()),
