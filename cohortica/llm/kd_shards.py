@@ -113,12 +113,12 @@ def kd_shards(
     bounds = points.agg(
         *[f(n).alias(f"{k}{n}") for n in names for k, f in (("min", F.min), ("max", F.max))]
     ).first()
-    points = points.select(
+    points = settle(points.select(
         "doc_id", "size", "text_crc32",
         (F.col("_tie").bitwiseAND((1 << (DIGITS * DIGIT_BITS - COORDINATE_BITS)) - 1)).alias("_tie"),
         *[_scaled(F.col(n), bounds[f"min{n}"], bounds[f"max{n}"]).alias(n) for n in names],
         F.lit(0).alias("_from"), F.lit(shards).alias("_to"),  # the node: its first shard and its end
-    )
+    ))
     for _ in range(math.ceil(math.log2(shards)) if shards > 1 else 0):
         points = _split_level(points, names)
     out = points.select("doc_id", "size", "text_crc32", F.col("_from").alias("shard"))
