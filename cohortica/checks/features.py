@@ -840,7 +840,7 @@ _FEATS = ["pregnancies", "age", "glucose", "insulin", "skin", "bmi"]
 
 def forest(spark, sf):
     train, test = model.split(load(spark, sf, "fx_health"), "id")
-    return model.fit_forest(train, _FEATS, "outcome", trees=20, depth=6), test
+    return model.fit_forest(train, _FEATS, "outcome"), test
 
 
 @query("q_forest")
@@ -857,7 +857,7 @@ def fit_gbt(spark, sf):
     feats = ["tenure", "monthly_charges", "senior"]
     feats += [x for x in df.columns if x.startswith(("contract_", "payment_"))]
     train, test = model.split(df, "customer_id")
-    fitted = model.fit_gbt(train, feats, "churned", rounds=10, depth=3)
+    fitted = model.fit_gbt(train, feats, "churned")
     return model.predict(fitted, test).select("customer_id", "churned", "prediction", "score")
 
 
@@ -868,7 +868,7 @@ def importances(spark, sf):
 
 @query("q_baseline_model")
 def baseline_model(spark, sf):
-    return features.baseline_model(people(spark, sf), "id", "survived", trees=20)
+    return features.baseline_model(people(spark, sf), "id", "survived")
 
 
 @query("q_histogram",
@@ -971,7 +971,7 @@ def feature_table(spark, sf):
 
 @query("q_feature_model")
 def feature_model(spark, sf):
-    return features.judge(features.feature_table(people(spark, sf)), "ID", "SURVIVED", trees=20)
+    return features.judge(features.feature_table(people(spark, sf)), "ID", "SURVIVED")
 
 
 @query(

@@ -8,8 +8,11 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Most rows of a derived table that is sent to every task.
+# Most rows, and about the most bytes, of a derived table that is sent to every task.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 128 << 20
+# The session's own folders; they go when the process ends.
+_own: list[tempfile.TemporaryDirectory] = []
 
 
 def local_session(cores: str = "*", app: str = "cohortica", **conf: str) -> SparkSession:
@@ -25,6 +28,7 @@ def local_session(cores: str = "*", app: str = "cohortica", **conf: str) -> Spar
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -37,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     A local session that names none gets a temporary folder, because there driver and executors
-    share one disk. On a cluster a missing setting is an error.
+    share one disk; it is removed when the process ends. On a cluster a missing setting is an error.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -47,7 +51,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        path = tempfile.mkdtemp(prefix="cohortica-")
+        _own.append(tempfile.TemporaryDirectory(prefix="cohortica-", ignore_cleanup_errors=True))
+        path = _own[-1].name
     context.setCheckpointDir(path)
     return context.getCheckpointDir()
 
@@ -63,13 +68,29 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A derived table ready to be joined to a large one: settled, counted, and broadcast if small.
+    """A derived table ready to be joined to a large one: settled, measured, and broadcast if small.
+
+    Small means at most ``most`` rows and about BROADCAST_BYTES: a number counts for its width, text
+    and arrays for their length, summed over all rows in the pass that counts them.
 
     Adaptive execution also broadcasts what turns out small, but by then the large side has been
     shuffled. Above the bound the join shuffles, and adaptive execution splits skewed partitions.
     """
     df = settle(df)
-    return F.broadcast(df) if df.count() <= most else df
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
+    return F.broadcast(df) if rows <= most and (size or 0) <= BROADCAST_BYTES else df
+
+
+def _row_bytes(df: DataFrame):
+    """About the bytes of a row: 16 a column, and what text, bytes and arrays hold."""
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif kind.startswith(("array", "map")):
+            size = size + 16 * F.greatest(F.size(column), F.lit(0))
+    return size
 
 
 def parallelism(spark: SparkSession, tasks: int) -> int:

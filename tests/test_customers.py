@@ -263,6 +263,31 @@ def test_published_critical_values():
     assert special.normal_two_sided(1.959964) == pytest.approx(0.05, abs=1e-6)
 
 
+def test_tails_at_any_size():
+
+    for t in (0.001, 1.0, 12.0):
+        assert special.t_two_sided(t, 1) == pytest.approx(1 - 2 * math.atan(t) / math.pi, rel=1e-9)
+        assert special.t_two_sided(t, 2) == pytest.approx(1 - t / math.sqrt(2 + t * t), rel=1e-9)
+        for df in (1e12, 1e14, 1e15):
+            assert special.t_two_sided(t, df) == pytest.approx(math.erfc(t / math.sqrt(2)), rel=1e-7)
+    values = [special.t_two_sided(1.0, 10.0**k) for k in range(16)]
+    assert values == sorted(values, reverse=True)
+    for x in (0.5, 4.0, 40.0):  # chi-square with 4 degrees of freedom in the limit
+        assert special.f_upper(x / 4, 4, 1e15) == pytest.approx(math.exp(-x / 2) * (1 + x / 2), rel=1e-9)
+    # F with 2 degrees of freedom above has a closed form.
+    assert special.f_upper(3.0, 2, 50) == pytest.approx((1 + 3.0 * 2 / 50) ** -25, rel=1e-12)
+    assert special.f_upper(0.0, 3, 50) == 1.0
+    assert special.normal_upper(12.0) == pytest.approx(1.776482112077679e-33, rel=1e-9)
+
+
+def test_fits_say_when_they_have_not_converged():
+
+    with pytest.raises(ArithmeticError):
+        cltv._minimize(lambda x: (x**2).sum(axis=1) ** 0.5, np.array([1e6, 1e6]), steps=2)
+    with pytest.raises(ArithmeticError):
+        cltv._gauss_series(3.2, 0.9, np.array([2.5]), np.array([1 - 1e-9]))
+
+
 def test_normal_quantile(spark):
     from statistics import NormalDist
 

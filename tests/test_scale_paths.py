@@ -47,3 +47,19 @@ def test_levels_stay_in_a_table(spark, con, monkeypatch):
 def test_many_cells_and_blocks(spark, con, monkeypatch):
     monkeypatch.setattr(neighbours.knn_join, "__defaults__", ("key", False, 60, 150))
     assert compare(QUERIES["q_lof"](spark, SF), con, ORACLES["q_lof"]) is None
+
+
+@pytest.mark.parametrize("limit", [1, 1_000])
+def test_label_encode_keeps_the_columns_in_place(spark, monkeypatch, limit):
+    monkeypatch.setattr(encode, "MANY_LEVELS", limit)
+    df = spark.createDataFrame([(1, "b", 1.0), (2, "a", 2.0), (3, None, 3.0)], "id long, s string, z double")
+    got = encode.label_encode(df, "s")
+    assert got.dtypes == [("id", "bigint"), ("s", "int"), ("z", "double")]
+    assert [r.s for r in got.orderBy("id").collect()] == [1, 0, 2]
+    assert encode.label_encode(df, "s", "code").columns == ["id", "s", "z", "code"]
+
+
+@pytest.mark.parametrize("name", "q_watched q_overlap_users q_similar_users q_rating_table q_drop_rare_items".split())
+def test_smallest_tables(spark, name):
+    small = "/root/testdata/sf0.001"
+    assert compare(QUERIES[name](spark, small), connect(small), ORACLES[name]) is None
