@@ -1037,3 +1037,36 @@ def churn_features(spark, sf):
         "increase",
         "service_fee",
     )
+
+
+# The churn and health flows to their end
+
+
+@query("q_churn_table")
+def churn_table(spark, sf):
+    return features.churn_table(load(spark, sf, "fx_telco"))
+
+
+@query("q_churn_model")
+def churn_model(spark, sf):
+    """Boosted trees before and after the engineering."""
+    raw = load(spark, sf, "fx_telco").withColumn("churned", c.yes_flag("churn")).drop("churn")
+    raw = raw.withColumn("total_charges", c.to_numeric("total_charges"))
+    before = features.baseline_model(raw, "customer_id", "churned", boosted=True)
+    after = features.judge(features.churn_table(load(spark, sf, "fx_telco")), "customer_id", "churned", boosted=True)
+    return before.select(F.lit("before").alias("table"), "*").union(after.select(F.lit("after").alias("table"), "*"))
+
+
+@query("q_health_model_table")
+def health_model_table(spark, sf):
+    return features.health_model_table(load(spark, sf, "fx_health"))
+
+
+@query("q_health_model")
+def health_model(spark, sf):
+    return features.judge(features.health_model_table(load(spark, sf, "fx_health")), "id", "outcome")
+
+
+@query("q_table_importances")
+def table_importances(spark, sf):
+    return features.table_importances(features.churn_table(load(spark, sf, "fx_telco")), "customer_id", "churned", boosted=True)

@@ -291,16 +291,17 @@ def lof_filter(scores: DataFrame, rank: int = 3, outliers: bool = True) -> DataF
 
 
 def knn_impute(
-    df: DataFrame, target: str, feats: Sequence[str], key: str, k: int = 5, **sizes: int
+    df: DataFrame, target: str, feats: Sequence[str], key: str, k: int = 5, max_levels: int = 100,
+    **sizes: int,
 ) -> DataFrame:
     """Fill ``target`` with the mean of the k nearest rows that have it.
 
-    Text features become 0/1 columns without their first level, everything is scaled to 0..1, and
+    Text features become 0/1 columns without their first level (``max_levels`` at most), everything is scaled to 0..1, and
     the fill is scaled back. A row with no neighbour gets the column mean.
     """
     names = df.columns
     text = [c for c in feats if c in string_columns(df)]
-    wide = one_hot(df.select(key, target, *feats), text, drop_first=True)
+    wide = one_hot(df.select(key, target, *feats), text, drop_first=True, max_levels=max_levels)
     points = [c for c in wide.columns if c not in (key, target)]
     stats = minmax_stats(wide, [target, *points])
     scaled = minmax_scale(wide, [target, *points], stats)
