@@ -96,6 +96,10 @@ def measurements(docs: DataFrame, text_col: str = "text") -> DataFrame:
         f"""coalesce(aggregate(_repeats, struct(0L as n, -{WINDOW} as last),
             (a, i) -> struct(a.n + least({WINDOW}, i - a.last) as n, i as last), a -> a.n), 0L)"""
     )
+    # The condition always holds, but it is not deterministic: so no filter on the measurements is
+    # pushed below them, where the windows would be written into the lambda that compares
+    # neighbours and be sorted anew for each of them.
+    covered = F.when(F.monotonically_increasing_id() >= 0, covered)
     return df.withColumn("n_repeat_words", covered).drop("_hashes", "_lines", "_windows", "_repeats")
 
 

@@ -68,3 +68,11 @@ def test_empty_table(spark):
 def test_native_plan(spark):
     plan = q.ledger(docs_table(spark, EXTRA)).where(F.col("failures") == 0)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_filters_stay_above_the_measurements(spark):
+    """Else the windows of a text are sorted once for each of its words."""
+    docs = docs_table(spark, EXTRA)
+    for df in (q.keep_good(docs), q.ledger(docs).where(q.passes())):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("sort_array(transform(sequence") == 1
