@@ -218,6 +218,8 @@ def fit_rates(
 ) -> Mix:
     """Nonnegative rates whose expected tokens per domain match the targets.
 
+    The anchor domain is wanted ``epochs`` times and the others in proportion to it, but none more
+    than ``epochs`` times what there is of it: a domain that is nearly gone is not repeated instead.
     Minimizes the squared misses by projected gradient: a document's gradient is its memberships
     times the misses (documents weigh as their tokens do), and it never goes below rate 0. The
     gradient is scaled by the inverse second moments of the documents whose rate is not 0, so a step
@@ -245,7 +247,7 @@ def fit_rates(
         return values[:n], values[n:].reshape(n, n)
 
     expected, second = state([])
-    wanted = weight / weight[at] * expected[at] * epochs
+    wanted = np.minimum(weight / weight[at] * expected[at], expected) * epochs
     total = max(wanted.sum(), 1.0)
     taken: list[tuple[float, ...]] = []
     reached, worse, converged = expected, False, False
