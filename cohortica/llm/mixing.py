@@ -31,6 +31,10 @@ TARGETS: dict[str, float] = {"toxic": 0.005, "good": 0.945, "poor": 0.05}
 # The total is set by this domain: its target is this multiple of the tokens it is expected to have.
 ANCHOR = "good"
 EPOCHS = 1.02
+# A mix is feasible if no domain misses its target by more than this share of the total.
+MISS = 1e-3
+# No domain is wanted more often than this; the total is lowered until that holds.
+MOST_REPEATS = 4.0
 
 # Hashed words whose evidence is kept, and how clear and frequent it must be.
 BUCKETS = 1 << 18
@@ -196,6 +200,7 @@ class Mix:
     targets: dict[str, float]
     reached: dict[str, float]
     converged: bool
+    feasible: bool  # no domain is too scarce for the anchor's total, and no target is missed
 
     def rate(self) -> Column:
         """The rate of a row of ``memberships``: 1 taken through all steps, never below 0."""
@@ -214,12 +219,14 @@ def _rate(names: Sequence[str], steps: Sequence[Sequence[float]]) -> Column:
 
 def fit_rates(
     table: DataFrame, targets: Mapping[str, float] = TARGETS, anchor: str = ANCHOR, epochs: float = EPOCHS,
-    steps: int = STEPS, tolerance: float = TOLERANCE,
+    steps: int = STEPS, tolerance: float = TOLERANCE, most_repeats: float = MOST_REPEATS,
 ) -> Mix:
     """Nonnegative rates whose expected tokens per domain match the targets.
 
-    The anchor domain is wanted ``epochs`` times and the others in proportion to it, but none more
-    than ``epochs`` times what there is of it: a domain that is nearly gone is not repeated instead.
+    The anchor domain is wanted ``epochs`` times and the others in proportion to it. Where a domain
+    would be wanted more than ``most_repeats`` times, the total is lowered and not the domain's share,
+    and ``feasible`` is false. A domain of which not one token is expected cannot have a share: it is
+    wanted 0 times, the others keep their proportions, and ``feasible`` is false too.
     Minimizes the squared misses by projected gradient: a document's gradient is its memberships
     times the misses (documents weigh as their tokens do), and it never goes below rate 0. The
     gradient is scaled by the inverse second moments of the documents whose rate is not 0, so a step
@@ -227,7 +234,8 @@ def fit_rates(
     over the largest eigenvalue instead. A step needs sums over all documents at the present rates;
     the steps so far are literals in them, so nothing is carried from job to job. Stops when the
     misses, or their change, are within ``tolerance`` of the total; ``converged`` says whether that
-    came to pass.
+    came to pass. Rates that settle off the targets, where memberships allow no better, are not
+    ``feasible``.
     """
     names = tuple(targets)
     n = len(names)
@@ -247,7 +255,12 @@ def fit_rates(
         return values[:n], values[n:].reshape(n, n)
 
     expected, second = state([])
-    wanted = np.minimum(weight / weight[at] * expected[at], expected) * epochs
+    wanted = weight / weight[at] * expected[at] * epochs
+    absent = (expected < 1) & (wanted > 0)
+    wanted = np.where(absent, 0.0, wanted)
+    some = wanted > 0
+    scale = min(1.0, (max(most_repeats, epochs) * expected[some] / wanted[some]).min(initial=1.0))
+    wanted = wanted * scale
     total = max(wanted.sum(), 1.0)
     taken: list[tuple[float, ...]] = []
     reached, worse, converged = expected, False, False
@@ -264,15 +277,17 @@ def fit_rates(
         before, (reached, second) = reached, state(taken)
         worse = np.linalg.norm(reached - wanted) > np.linalg.norm(miss)
         converged = np.abs(reached - before).max() <= tolerance * total
+    feasible = bool(scale == 1.0 and not absent.any() and np.abs(reached - wanted).max() <= MISS * total)
     name = lambda values: dict(zip(names, map(float, values), strict=True))
-    return Mix(names, tuple(taken), name(expected), name(wanted), name(reached), bool(converged))
+    return Mix(names, tuple(taken), name(expected), name(wanted), name(reached), bool(converged), feasible)
 
 
 def mixed_rates(
     docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, domains: Mapping[str, str] = DOMAINS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, tokens, p_<domain>..., rate, copies`` for every row of ``docs``.
+    """``doc_id, tokens, p_<domain>..., rate, copies`` for every row of ``docs``, and of the whole mix
+    ``target_<domain>...`` and ``reached_<domain>...`` (expected tokens) and ``feasible`` (see fit_rates).
 
     ``copies`` is the rate rounded up or down by a hash of the id, so that its mean is the rate and a
     second run gives the same. Null and empty texts have no tokens and a rate like any other text of
@@ -290,7 +305,9 @@ def mixed_rates(
     if not mix.converged:
         raise RuntimeError(f"the rates have not settled in {STEPS} steps: {mix.reached} for {mix.targets}")
     place = F.xxhash64("doc_id", F.lit(SEED)).cast("double") / float(1 << 64) + 0.5
-    return table.withColumn("rate", mix.rate()).withColumn("copies", F.floor(F.col("rate") + place).cast("long"))
+    whole = {f"target_{n}": F.lit(mix.targets[n]) for n in names} | {f"reached_{n}": F.lit(mix.reached[n]) for n in names}
+    rates = table.withColumn("rate", mix.rate()).withColumn("copies", F.floor(F.col("rate") + place).cast("long"))
+    return rates.withColumns(whole | {"feasible": F.lit(mix.feasible)})
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

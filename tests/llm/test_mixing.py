@@ -92,3 +92,29 @@ def test_awkward_rows(spark):
     same = mx.mixed_rates(docs, none).collect()
     assert all(abs(r[f"p_{n}"] - 1 / 3) < 1e-6 for r in same for n in NAMES)
     assert mx.mixed_rates(docs_table(spark, []), labels).collect() == []
+
+
+def test_a_scarce_domain_keeps_its_share(spark):
+    rng = np.random.default_rng(4)
+    p = np.column_stack([rng.dirichlet([0.2, 0.2], 400), np.zeros(400)])
+    p[:4] = [0, 0, 1]  # 1 % of the documents for a tenth of the tokens
+    rows = [(k, 100, *map(float, x)) for k, x in enumerate(p)]
+    table = spark.createDataFrame(rows, "doc_id long, tokens long, " + ", ".join(f"p_{x} double" for x in NAMES))
+    targets = {"toxic": 0.3, "good": 0.6, "poor": 0.1}
+    mix = mx.fit_rates(table, targets)
+    total = sum(mix.reached.values())
+    assert mix.converged and not mix.feasible
+    assert all(abs(mix.reached[n] / total - targets[n]) < 1e-3 for n in NAMES)
+    assert mix.targets["poor"] <= mx.MOST_REPEATS * mix.expected["poor"] * (1 + 1e-9)
+    assert mx.fit_rates(table, {"toxic": 0.4, "good": 0.59, "poor": 0.01}).feasible
+
+
+def test_the_mix_says_what_it_wanted_and_reached(spark):
+    docs, labels = corpus(spark)
+    got = mx.mixed_rates(docs, labels).first().asDict()
+    total = sum(got[f"target_{n}"] for n in NAMES)
+    assert all(abs(got[f"target_{n}"] / total - mx.TARGETS[n]) < 1e-9 for n in NAMES)
+    miss = max(abs(got[f"reached_{n}"] - got[f"target_{n}"]) for n in NAMES)
+    assert got["feasible"] == (miss <= mx.MISS * total)
+    no_poor = mx.mixed_rates(docs, labels.where("quality = 1 or toxic = 1")).first()
+    assert not no_poor.feasible and no_poor.reached_good > 0
