@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Most rows, and about the most bytes, of a derived table that is sent to every task.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 128 << 20
+# Whether the optimizer derives conditions on columns from those of the steps below.
+CONSTRAINTS = "spark.sql.constraintPropagation.enabled"
 # The session's own folders; they go when the process ends.
 _own: list[tempfile.TemporaryDirectory] = []
 
@@ -62,9 +64,20 @@ def settle(df: DataFrame) -> DataFrame:
 
     Used where a result is read more than once and the readers must see the very same values:
     floating-point sums and range-partition bounds may differ between two runs of one plan.
+
+    The plan is made first. A checkpoint would then also carry over what is known of the columns, and
+    for a wide table with stacked projections that knowledge alone fills the driver's heap (not-null
+    conditions of every column multiply from step to step); it is not asked for.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    shared_dir(spark)
+    df._jdf.queryExecution().executedPlan()
+    before = spark.conf.get(CONSTRAINTS, "true")
+    spark.conf.set(CONSTRAINTS, "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(CONSTRAINTS, before)
 
 
 def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
