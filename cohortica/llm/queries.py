@@ -15,6 +15,7 @@ from cohortica.llm.kd_shards import kd_shards
 from cohortica.llm.mixing import mixed_rates
 from cohortica.llm.near_duplicates import near_duplicates
 from cohortica.llm.repeated_passages import repeated_passages
+from cohortica.llm.spelling import spelling_variants
 from cohortica.llm.token_files import token_table
 from cohortica.llm.warc_zstd import read_archives, with_revisits, write_archives
 
@@ -165,3 +166,8 @@ def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_chained_passages")
 def op7_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op13_pivotal_spelling")
+def op13_pivotal_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
