@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortica.llm import quality_model, quality_rules, secret_scan
+from cohortica.llm.byte_bpe import decode_documents, encode_documents
 from cohortica.llm.decontaminate import contaminated
 from cohortica.llm.files import new_folder
 from cohortica.llm.kd_shards import kd_shards
@@ -171,3 +172,16 @@ def op7_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_pivotal_spelling")
 def op13_pivotal_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def byte_bpe_digests(docs: DataFrame, ranks: str) -> DataFrame:
+    """Ids of every text and, from the ids alone, its bytes, as checksums."""
+    rows = decode_documents(encode_documents(docs, ranks), ranks)
+    return rows.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op11_byte_bpe")
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    )
