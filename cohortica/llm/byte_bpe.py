@@ -24,12 +24,14 @@ from cohortica.llm.words import BASE, _powers_up_to, _values, mixed
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LETTER, NUMBER, OTHER, SPACE = range(4)
 # Merged pre-tokens that a worker remembers; without effect on the ids.
-REMEMBERED = 500_000
-# Bytes of text taken at a time; a longer text is taken alone and whole.
-PIECE_BYTES = 4 << 20
+REMEMBERED = 200_000
+# Bytes of text taken at a time, and ids when they are decoded; a longer text is taken alone and whole.
+PIECE_BYTES = 1 << 20
+PIECE_IDS = 1 << 19
 # Slots per key in a level of the perfect hash.
 ROOM = 1.5
 _encoders: dict[str, ByteBpe] = {}
+_spellings: dict[str, object] = {}
 _classes: np.ndarray | None = None
 
 
@@ -135,6 +137,34 @@ def gathered(rows: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[n
     return data[np.arange(ends[-1]) + np.repeat(offsets[rows] - ends[:-1], lengths)], ends
 
 
+def joined(strings, index) -> tuple[memoryview, np.ndarray]:
+    """The Arrow strings ``index`` one after the other, and where each begins, with the end."""
+    taken = strings.take(index)
+    if taken.null_count:
+        raise ValueError("an id is not in the vocabulary")
+    _, place, content = taken.buffers()
+    return memoryview(content or b""), np.frombuffer(place, np.int64)[: len(taken) + 1]
+
+
+def read_ranks(path: str) -> dict[bytes, int]:
+    """Tokens and their ids: a token in base 64 and its rank per line."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
+
+
+def spelling(path: str):
+    """The bytes of every id, as Arrow strings; an id that is no rank is null."""
+    import pyarrow as pa
+
+    if path not in _spellings:
+        ranks = read_ranks(path)
+        by_id: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            by_id[rank] = token
+        _spellings[path] = pa.array(by_id, pa.large_binary())
+    return _spellings[path]
+
+
 def packed(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Strings as one array and their bounds."""
     return np.frombuffer(b"".join(strings), np.uint8), np.concatenate([[0], np.cumsum([len(s) for s in strings], dtype=np.int64)]).astype(np.int64)
@@ -178,8 +208,9 @@ class ByteBpe:
     def __init__(self, path: str, pattern: str = SPLIT):
         if pattern != SPLIT:
             raise ValueError("pre-tokens are cut by classes of characters, for the one pattern SPLIT")
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
+        import pyarrow as pa
+
+        self.ranks = read_ranks(path)
         missing = [b for b in range(256) if bytes([b]) not in self.ranks]
         if missing:
             raise ValueError(f"{len(missing)} single bytes have no rank")
@@ -192,12 +223,8 @@ class ByteBpe:
         by_place[place] = np.arange(len(tokens))
         self.keys, self.bounds = gathered(by_place, data, offsets)
         self.ids = np.array(list(self.ranks.values()), np.int32)[by_place]
-        by_id: list[bytes] = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
-            by_id[rank] = token
-        self.spelled = packed(by_id)
-        self.decimal = packed([b"%d " % k for k in range(len(by_id))])
-        self.known: dict[bytes, list[int]] = {}
+        self.decimal = pa.array([b"%d " % k for k in range(max(self.ranks.values()) + 1)], pa.large_binary())
+        self.known: dict[bytes, bytes] = {}
 
     def whole(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The id of each string that is a token, else -1."""
@@ -214,12 +241,13 @@ class ByteBpe:
         out[same] = self.ids[place[same]]
         return out
 
-    def _merged(self, piece: bytes) -> list[int]:
+    def _merged(self, piece: bytes) -> bytes:
+        """The ids as packed 32-bit numbers."""
         ids = self.known.get(piece)
         if ids is None:
             if len(self.known) >= REMEMBERED:
                 self.known = {}
-            ids = self.known[piece] = merged(piece, self.ranks)
+            ids = self.known[piece] = np.array(merged(piece, self.ranks), np.int32).tobytes()
         return ids
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,24 +262,18 @@ class ByteBpe:
         begins = np.searchsorted(at_byte, offsets[:-1][np.diff(offsets) > 0])
         first[begins] = True
         starts = np.append(at_byte[pretoken_starts(points, first)], len(data))
-        pieces = pa.LargeBinaryArray.from_buffers(
+        pieces = pa.Array.from_buffers(
             pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
         distinct = pieces.dictionary
         _, place, content = distinct.buffers()
         place = np.frombuffer(place, np.int64)[: len(distinct) + 1]
         ids = self.whole(np.frombuffer(content, np.uint8), place)
-        rows = [[i] for i in ids.tolist()]
+        rows = ids.astype(np.int32).view("V4").tolist()
         for k in np.flatnonzero(ids < 0).tolist():
             rows[k] = self._merged(distinct[k].as_py())
-        lengths = np.array([len(r) for r in rows], np.int64)
-        flat = np.fromiter((i for r in rows for i in r), np.int32, int(lengths.sum()))
-        out, ends = gathered(pieces.indices.to_numpy(), flat, np.concatenate([[0], np.cumsum(lengths)]))
-        return out, ends[np.searchsorted(starts, offsets)]
-
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes of all ids, and where each id's begin, with the end."""
-        return gathered(ids, *self.spelled)
+        out, ends = joined(pa.array(rows, pa.large_binary()), pieces.indices)
+        return np.frombuffer(out, np.int32, int(ends[-1]) // 4), ends[np.searchsorted(starts, offsets)] // 4
 
 
 def encoder(path: str) -> ByteBpe:
@@ -296,7 +318,7 @@ def encode_documents(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_c
         for batch in batches:
             for a, data, offsets in _pieces(batch.column(1), PIECE_BYTES):
                 ids, bounds = code.encode(data, offsets)
-                decimal, at = gathered(ids, *code.decimal)
+                decimal, at = joined(code.decimal, pa.array(ids))
                 ends = at[bounds].tolist()
                 sums = [sha256(decimal[x : max(x, y - 1)]).hexdigest() for x, y in zip(ends, ends[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
@@ -321,17 +343,18 @@ def decode_documents(rows: DataFrame, ranks: str, ids_col: str = "ids") -> DataF
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        code = encoder(ranks)
+        spelled = spelling(ranks)
         for batch in batches:
-            lists = batch.column(ids_col)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            if len(flat) and (flat.min() < 0 or flat.max() >= len(code.spelled[1]) - 1):
-                raise ValueError("an id is not in the vocabulary")
-            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            data, at = code.decode(flat)
-            ends = at[np.concatenate([[0], np.cumsum(sizes)])].tolist()
-            content = data.tobytes()
-            decoded = pa.array([content[x:y] for x, y in zip(ends, ends[1:], strict=False)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], decoded], [*others, "decoded"])
+            a = 0
+            bounds = np.append(0, np.cumsum(batch.column(ids_col).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
+            while a < batch.num_rows:
+                b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + PIECE_IDS, "right")) - 1)
+                part = batch.slice(a, b - a)
+                ids = part.column(ids_col).flatten()
+                data, at = joined(spelled, ids)
+                ends = at[bounds[a : b + 1] - bounds[a]].tolist()
+                decoded = pa.array([data[x:y] for x, y in zip(ends, ends[1:], strict=False)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in others], decoded], [*others, "decoded"])
+                a = b
 
     return rows.mapInArrow(run, schema)
