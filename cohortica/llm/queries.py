@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortica.llm import quality_model, quality_rules, secret_scan
 from cohortica.llm.byte_bpe import decode_documents, encode_documents
+from cohortica.llm.cross_tokenizer import aligned_table
 from cohortica.llm.decontaminate import contaminated
 from cohortica.llm.files import new_folder
 from cohortica.llm.kd_shards import kd_shards
@@ -185,3 +186,11 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digests(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     )
+
+
+@query("op12_cross_tokenizer")
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_table(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+    )
