@@ -4,8 +4,8 @@
    sequences must spell the blank and the text, byte by byte.
 2. Places where tokens of both end, with a blank behind (or nothing), are anchors. They cut a text
    into windows, each a tuple of A ids and one of B ids.
-3. A window's alignment depends on its ids alone, so it is worked out once and remembered: groups
-   between shared ends, and a link for every two tokens that share bytes.
+3. A window's alignment depends on its ids alone: groups between shared ends, and a link for every two
+   tokens that share bytes. Texts are taken many at a time, and of equal id tuples among them one is aligned.
 4. Each text keeps its distinct links and how often it has them; an aggregate counts, per link, the
    texts that hold it, and another finds each A id's highest count.
 5. Counts go to sorted binary files in the shared folder, which tasks map into memory to sum them up
@@ -14,23 +14,23 @@
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortica.llm.byte_bpe import _pieces, gathered, packed
+from cohortica.llm.byte_bpe import SPLIT, _pieces, gathered, joined, packed
 from cohortica.llm.files import mapped, new_folder, replacing
 from cohortica.session import settle
 
-# Windows whose alignment a worker remembers; without effect on results.
-REMEMBERED = 200_000
-# Bytes of text taken at a time; a longer text is taken alone and whole.
-PIECE_BYTES = 1 << 20
+# Bytes of text taken at a time, whose alignments are shared; a longer text is taken alone and whole.
+PIECE_BYTES = 2 << 20
 # Counts in one file, and files that a worker keeps open.
 FILE_ROWS = 4_000_000
 OPEN_FILES = 8
@@ -45,26 +45,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in same} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
-def aligned(a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]) -> tuple[str, list[tuple[int, int]]]:
-    """Groups of a window as text (``a1,a2|b1;a3|b2``) and its links; both sides have the same bytes."""
-    groups, links = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = sizes_a[0], sizes_b[0]
-    while True:
-        links.append((a[i], b[j]))
-        if end_a == end_b:
-            i, j = i + 1, j + 1
-            groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-            if i == len(a):
-                return ";".join(groups), links
-            first_a, first_b = i, j
-            end_a, end_b = end_a + sizes_a[i], end_b + sizes_b[j]
-        elif end_a < end_b:
-            i += 1
-            end_a += sizes_a[i]
-        else:
-            j += 1
-            end_b += sizes_b[j]
+def spread(counts: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``starts[i], starts[i] + 1, ...``, ``counts[i]`` of them, for every ``i``."""
+    before = np.cumsum(counts) - counts
+    return np.arange(int(counts.sum())) + np.repeat(starts - before, counts)
 
 
 @dataclass
@@ -81,55 +65,104 @@ class Piece:
     times: np.ndarray
 
 
+def byte_level(path: str) -> Callable[[list[str]], list]:
+    """The encoder of a byte-level JSON file: ids of every text, special tokens being plain text.
+
+    A file whose merges stand in the order of their ids, with the byte-level split and nothing else around
+    it, is a table of ranks, which the faster library reads; any other goes to the library it was made for.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark hands out the cores
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    model, split = made["model"], made["pre_tokenizer"] or {}
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", ())]
+    ids = [model["vocab"]["".join(m)] for m in merges]
+    plain = (
+        made["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+        and not split["add_prefix_space"] and model["type"] == "BPE" and not model.get("ignore_merges")
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        and all(a < b for a, b in zip(ids, ids[1:], strict=False))
+    )
+    if not plain:
+        whole = Tokenizer.from_file(path)
+        whole.encode_special_tokens = True
+        return lambda texts: [e.ids for e in whole.encode_batch_fast(texts, add_special_tokens=False)]
+    letters = byte_letters()
+    ranks = {bytes([b]): model["vocab"][c] for c, b in letters.items()}
+    ranks |= {bytes(letters[c] for c in a + b): i for (a, b), i in zip(merges, ids, strict=True)}
+    code = tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return lambda texts: [code.encode_ordinary(t) for t in texts]
+
+
 class Aligner:
     """Tokenizer A (a byte-level JSON file) and B (a SentencePiece model with byte fallback)."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark hands out the cores
+        import pyarrow as pa
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True  # their strings are plain text
+        vocabulary = Tokenizer.from_file(path_a).get_vocab()
         letters = byte_letters()
-        spelled = [b""] * (max(self.a.get_vocab().values()) + 1)
-        for token, i in self.a.get_vocab().items():
+        spelled = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
             if set(token) - set(letters):
                 raise ValueError("tokenizer A is not byte-level")
             spelled[i] = bytes(letters[c] for c in token)
+        self.a = byte_level(path_a)
         self.spelled_a = packed(spelled)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.size_b = self.b.get_piece_size()
         piece = lambda i: bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
         self.spelled_b = packed([piece(i) for i in range(self.size_b)])
-        self.known: dict[bytes, tuple[bytes, list[int], int]] = {}
+        self.size = max(len(spelled), self.size_b)
+        self.decimal = pa.array([b"%d%c" % (k, c) for c in b",|;" for k in range(self.size)], pa.large_binary())
         probe = b"Two words, 1 probe."
         _, good = self._tokens([probe.decode()], np.frombuffer(probe, np.uint8), np.array([0, len(probe)]))
         if not good[0]:
             raise ValueError("the tokens of A and B do not spell a text with a blank before it")
 
-    def _window(self, ids: bytes) -> tuple[bytes, list[int], int]:
-        """Groups, links and number of groups of a window: the count of A ids, A ids, B ids."""
-        found = self.known.get(ids)
-        if found is None:
-            row = np.frombuffer(ids, np.int32)
-            a, b = row[1 : 1 + row[0]], row[1 + row[0] :]
-            sizes = lambda x, spelled: (spelled[1][x + 1] - spelled[1][x]).tolist()
-            text, links = aligned(a.tolist(), b.tolist(), sizes(a, self.spelled_a), sizes(b, self.spelled_b))
-            if len(self.known) >= REMEMBERED:
-                self.known = {}
-            found = (text.encode() + b";", [x * self.size_b + y for x, y in links], text.count(";") + 1)
-            self.known[ids] = found
-        return found
+    def _aligned(self, rows: np.ndarray, bounds: np.ndarray):
+        """Windows ``rows[bounds[i]:bounds[i+1]]`` (the count of A ids, A ids, B ids): their groups as
+        Arrow strings, their links as Arrow lists, and their numbers of groups. Both sides of a window have the same
+        bytes, so bytes are counted through all windows at once."""
+        import pyarrow as pa
+
+        n_a = rows[bounds[:-1]].astype(np.int64)
+        n_b = np.diff(bounds) - 1 - n_a
+        a, b = rows[spread(n_a, bounds[:-1] + 1)], rows[spread(n_b, bounds[:-1] + 1 + n_a)]
+        size_a = np.diff(self.spelled_a[1])[a]
+        end_a, end_b = np.cumsum(size_a), np.cumsum(np.diff(self.spelled_b[1])[b])
+        # Links: the B tokens from the first that ends behind a token's start to the first that reaches its end.
+        first, last = np.searchsorted(end_b, end_a - size_a, "right"), np.searchsorted(end_b, end_a)
+        linked = last - first + 1
+        links = np.repeat(a.astype(np.int64), linked) * self.size_b + b[spread(linked, first)]
+        edge = np.append(0, np.cumsum(n_a))
+        lists = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(linked))[edge]), pa.array(links))
+        # Groups: tokens in the order of group and side, each with the sign that follows it.
+        ends = end_b[last] == end_a
+        shared = end_a[ends]
+        group_a, group_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
+        signed = np.empty(len(a) + len(b), np.int64)
+        signed[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = a + self.size * ends
+        closes = np.append(group_b[1:] != group_b[:-1], True)
+        signed[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = b + 2 * self.size * closes
+        text, at = joined(self.decimal, pa.array(signed))
+        at = at[np.append(0, np.cumsum(n_a + n_b))]
+        groups = pa.Array.from_buffers(pa.large_binary(), len(n_a), [None, pa.py_buffer(at.copy()), pa.py_buffer(text)])
+        return groups, lists, np.diff(np.append(0, np.cumsum(ends))[edge])
 
     def _tokens(self, texts: list[str], data: np.ndarray, offsets: np.ndarray):
         """Per side: ids, bounds per text, and the byte each token ends at; texts that cannot be spelled
         have none. Bytes are counted through all texts with a blank before each."""
         sides = [
-            [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)],
+            self.a([" " + t for t in texts]),
             self.b.encode(texts, num_threads=1),
         ]
-        flat = [np.fromiter((i for r in side for i in r), np.int64, sum(map(len, side))) for side in sides]
+        flat = [np.fromiter(chain.from_iterable(side), np.int64, sum(map(len, side))) for side in sides]
         bounds = [np.concatenate([[0], np.cumsum([len(r) for r in side], dtype=np.int64)]) for side in sides]
         whole = data.tobytes()
         good = np.diff(offsets) > 0
@@ -175,21 +208,24 @@ class Aligner:
         windows = pa.Array.from_buffers(
             pa.large_binary(), len(anchors), [None, pa.py_buffer(4 * bounds.astype(np.int64)), pa.py_buffer(row)]
         ).dictionary_encode()
-        found = [self._window(w) for w in windows.dictionary.to_pylist()]
+        _, place, content = windows.dictionary.buffers()
+        place = np.frombuffer(place, np.int64)[: len(windows.dictionary) + 1] // 4
+        texts_of, links_of, groups_of = self._aligned(np.frombuffer(content, np.int32, place[-1]), place)
         index = windows.indices
         per_text = np.append(0, np.cumsum(np.where(good, 1, 0)))  # windows before each text
         ends = np.append(0, np.searchsorted(anchors, end_a[at_a[1:][good] - 1]) + 1)
         per_text = ends[per_text]
-        strings = pa.array([f[0] for f in found], pa.large_binary()).take(index)
+        strings = texts_of.take(index)
         _, place, content = strings.buffers()
         place = np.frombuffer(place, np.int64)[: len(strings) + 1][per_text]
         groups = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(place.copy()), content])
-        number = np.array([f[2] for f in found])[index.to_numpy()]
-        lists = pa.array([f[1] for f in found], pa.large_list(pa.int64())).take(index)
+        number = groups_of[index.to_numpy()]
+        lists = links_of.take(index)
         links = lists.flatten().to_numpy()
         n_links = np.diff(np.append(0, np.cumsum(lists.value_lengths().to_numpy()))[per_text])
-        order = np.lexsort((links, np.repeat(np.arange(n), n_links)))
-        links, text = links[order], np.repeat(np.arange(n), n_links)[order]
+        text = np.repeat(np.arange(n), n_links)
+        order = np.lexsort((links, text))
+        links, text = links[order], text[order]
         new = np.append(True, (links[1:] != links[:-1]) | (text[1:] != text[:-1]))
         first = np.flatnonzero(new)
         return Piece(

@@ -7,6 +7,8 @@ import public_tokenizers
 import pytest
 import sentencepiece
 from helpers import docs_table, odd_rows, prose, with_clashes
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cohortica.llm import cross_tokenizer as ct
@@ -15,6 +17,7 @@ from cohortica.llm.files import new_folder
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 BYTE_LEVEL = Tokenizer.from_file(A)
 BYTE_LEVEL.encode_special_tokens = True
+ENCODE = ct.byte_level(A)
 PIECES = sentencepiece.SentencePieceProcessor(model_file=B)
 
 
@@ -86,20 +89,25 @@ def test_awkward_rows(spark):
     assert rows_of(ct.aligned_table(with_clashes(docs_table(spark, rows)), A, B)) == expected(rows)
 
 
-def test_a_full_memory_changes_nothing():
-    texts = [prose(k, 60) for k in range(4)]
+def test_alignments_are_the_same_however_texts_are_taken():
+    texts = [prose(k, 60) for k in range(4)] + ["", ODD]
     raw = [t.encode() for t in texts]
     data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw]))
     code = ct.Aligner(A, B)
-    first = code.align(data, offsets)
-    code.known = {}
-    limit, ct.REMEMBERED = ct.REMEMBERED, 3
-    try:
-        second = code.align(data, offsets)
-    finally:
-        ct.REMEMBERED = limit
-    assert first.groups.to_pylist() == second.groups.to_pylist() == [";".join(one(t)[2]) for t in texts]
-    assert first.links.tolist() == second.links.tolist()
+    whole = code.align(data, offsets)
+    assert whole.groups.to_pylist() == [";".join((one(t) or [0, 0, []])[2]) for t in texts]
+    for k, (x, y) in enumerate(zip(offsets, offsets[1:], strict=False)):
+        alone = code.align(data[x:y], np.array([0, y - x]))
+        assert alone.groups.to_pylist() == whole.groups.to_pylist()[k : k + 1]
+        assert alone.links.tolist() == whole.links[whole.link_bounds[k] : whole.link_bounds[k + 1]].tolist()
+
+
+@given(st.text(max_size=40) | st.text("aB'é.,!? \n <|>sit0", max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_ids_are_those_of_the_file_s_own_library(text):
+    assert ENCODE([text, "<|endoftext|>" + text]) == [
+        e.ids for e in BYTE_LEVEL.encode_batch([text, "<|endoftext|>" + text], add_special_tokens=False)
+    ]
 
 
 def test_counts_in_many_files(spark, monkeypatch):
