@@ -28,14 +28,58 @@ def test_expected_tokens_come_to_the_targets(spark):
     assert np.allclose(reached, [mix.reached[n] for n in NAMES])
 
 
-def test_rates_against_the_steps_taken_one_by_one(spark):
+def solved(p, tokens, wanted, most, press=mx.PRESS):
+    """The same objective by plain projected gradient over the rates, with exact line steps in numpy."""
+    w, r = tokens / tokens.sum(), np.ones(len(p))
+    y = np.zeros(p.shape[1])
+    step = 1 / (1 / press + np.linalg.eigvalsh((p * w[:, None]).T @ p).max())
+    for _ in range(200_000):  # gradient ascent on the dual, one number per domain
+        r = np.clip(1 + p @ y, 0, most)
+        y = y - step * (y / press + p.T @ (w * r) - wanted)
+    return np.clip(1 + p @ y, 0, most)
+
+
+@pytest.mark.parametrize("targets", [{"toxic": 0.15, "good": 0.65, "poor": 0.2}, {"toxic": 0.1, "good": 0.35, "poor": 0.55}])
+def test_rates_equal_a_plain_solver(spark, targets):
     table, p, tokens = memberships(spark, 60, 3)
-    mix = mx.fit_rates(table, {"toxic": 0.0, "good": 0.9, "poor": 0.1}, steps=12)
-    rate = np.ones(len(p))
-    for g in mix.steps:
-        rate = np.maximum(0, rate - p @ np.array(g))
+    mix = mx.fit_rates(table, targets, tolerance=1e-9, steps=200, most_push=50)
     got = np.array([r[0] for r in table.orderBy("doc_id").select(mix.rate()).collect()])
-    assert len(mix.steps) > 1 and np.allclose(rate, got)
+    wanted = np.array([mix.targets[n] for n in NAMES]) / tokens.sum()
+    assert mix.converged and np.abs(got - solved(p, tokens, wanted, mx.MOST_RATE)).max() < 0.02
+
+
+def test_a_mix_that_cannot_be_met_is_the_nearest_one(spark):
+    table, p, tokens = memberships(spark, 60, 3)
+    mix = mx.fit_rates(table, {"toxic": 0.0, "good": 0.9, "poor": 0.1}, tolerance=1e-9, steps=200, most_push=1e9)
+    rate = np.clip(1 + p @ np.array(mix.slope), 0, mx.MOST_RATE)
+    miss = (p.T @ (tokens * rate) - [mix.targets[n] for n in NAMES]) / tokens.sum()
+    assert mix.converged and not mix.feasible
+    assert np.allclose(mix.slope, -mx.PRESS * miss, atol=0.01 * np.abs(mix.slope).max())  # no rate can move
+    soft = mx.fit_rates(table, {"toxic": 0.0, "good": 0.9, "poor": 0.1})
+    assert soft.converged and min(soft.slope) == -mx.MOST_PUSH
+
+
+def test_equal_memberships_have_equal_rates_and_good_ones_stay_together(spark):
+    rng = np.random.default_rng(9)
+    p = np.repeat([[0.01, 0.98, 0.01], [0.9, 0.05, 0.05], [0.02, 0.08, 0.9]], [600, 30, 120], axis=0)
+    p = np.abs(p + rng.normal(0, 0.003, p.shape))
+    p /= p.sum(1, keepdims=True)
+    rows = [(k, int(t), *map(float, x)) for k, (t, x) in enumerate(zip(rng.integers(5, 3000, len(p)), p, strict=True))]
+    table = spark.createDataFrame(rows, "doc_id long, tokens long, " + ", ".join(f"p_{x} double" for x in NAMES))
+    for targets, feasible in ((mx.TARGETS, False), ({"toxic": 0.02, "good": 0.9, "poor": 0.08}, True)):
+        mix = mx.fit_rates(table, targets)
+        got = np.array([r[0] for r in table.orderBy("doc_id").select(mix.rate()).collect()])
+        assert mix.converged and mix.feasible == feasible
+        assert np.abs(got[:600] / got[:600].mean() - 1).max() < 0.05 and abs(got[:600].mean() - 1) < 0.1
+        assert got[600:630].max() < 0.7 and got.max() < mx.MOST_RATE
+
+
+def test_a_limited_domain_is_lowered_but_not_raised(spark):
+    table, _, _ = memberships(spark)
+    high = mx.fit_rates(table, {"toxic": 0.01, "good": 0.49, "poor": 0.5}, limited=["toxic"], most_push=50)
+    assert high.feasible and high.targets["toxic"] < 0.1 * high.expected["toxic"]
+    rare = mx.fit_rates(table, {"toxic": 0.98, "good": 0.01, "poor": 0.01}, limited=["toxic"])
+    assert rare.targets["toxic"] == rare.expected["toxic"]
 
 
 def test_unreachable_targets_are_reported(spark):
@@ -73,8 +117,10 @@ def test_domains_are_learnt_and_mixed(spark):
         assert np.mean([r[f"p_{name}"] > 0.5 for r in own]) > 0.95
         assert all(r.tokens == 60 and abs(r.copies - r.rate) < 1 for r in own)
     rate = [np.mean([r.rate for r in got if r.doc_id % 3 == k]) for k in range(3)]
-    assert rate[0] >= 1 and rate[1] < 0.5 and rate[2] < 0.2
-    mixed = mx.mixed_documents(docs, labels)
+    assert 1 <= rate[0] < 1.1 and rate[1] < 0.5 and rate[2] < 0.2
+    good = [r.rate for r in got if r.doc_id % 3 == 0 and r.p_good > 0.95]
+    assert len(good) > 90 and max(good) < 1.05 * np.mean(good) and min(good) > 0.95 * np.mean(good)
+    mixed = mx.mixed_documents(docs, labels, nearest=True)
     assert mixed.columns == docs.columns
     ids = [r.doc_id for r in mixed.collect()]
     assert sorted(ids) == sorted(r.doc_id for r in got for _ in range(r.copies))
@@ -91,6 +137,10 @@ def test_awkward_rows(spark):
     none = labels.limit(0)
     same = mx.mixed_rates(docs, none).collect()
     assert all(abs(r[f"p_{n}"] - 1 / 3) < 1e-6 for r in same for n in NAMES)
+    assert all(r.rate == r.copies == 1 and not r.feasible for r in same)
+    with pytest.raises(ValueError):
+        mx.mixed_documents(docs, none)
+    assert sorted(map(str, mx.mixed_documents(docs, none, nearest=True).collect())) == sorted(map(str, docs.collect()))
     assert mx.mixed_rates(docs_table(spark, []), labels).collect() == []
 
 
@@ -118,3 +168,16 @@ def test_the_mix_says_what_it_wanted_and_reached(spark):
     assert got["feasible"] == (miss <= mx.MISS * total)
     no_poor = mx.mixed_rates(docs, labels.where("quality = 1 or toxic = 1")).first()
     assert not no_poor.feasible and no_poor.reached_good > 0
+
+
+def test_rows_that_share_an_id_are_taken_by_their_own_text(spark):
+    docs, labels = corpus(spark)
+    more = docs_table(spark, [(1, prose(501, 60), "en", "a", 0), (None, prose(502, 60), "en", "a", 0), (None, None, None, None, None)] * 2)
+    both = docs.union(more)
+    got = mx.mixed_rates(both, labels).collect()
+    want = [(r.doc_id, r.mark) for r in got for _ in range(r.copies)]
+    import hashlib
+
+    mark = lambda t: None if t is None else hashlib.md5(t.encode()).hexdigest()
+    mixed = [(r.doc_id, mark(r.text)) for r in mx.mixed_documents(both, labels, nearest=True).collect()]
+    assert sorted(mixed, key=str) == sorted(want, key=str)
