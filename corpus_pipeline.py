@@ -12,6 +12,10 @@ from cohortica.llm.near_duplicates import one_of_each
 from cohortica.llm.quality_rules import keep_good
 from cohortica.llm.token_files import token_table
 
+# The mix: domains of the labelled table after the quality rules, and their shares of the tokens.
+MIX_DOMAINS = {"toxic": "toxic = 1", "clean": "toxic = 0"}
+MIX_TARGETS = {"toxic": 0.005, "clean": 0.995}
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every rule of the policy."""
@@ -29,8 +33,15 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents at their rates: left out, once, or repeated."""
-    return mixed_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Documents at their rates: left out, once, or repeated.
+
+    The rules have removed the poor ones, so two domains are left; toxic text is lowered to its share
+    and never raised to it.
+    """
+    return mixed_documents(
+        docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), domains=MIX_DOMAINS, targets=MIX_TARGETS,
+        anchor="clean", limited=["toxic"], nearest=True,
+    )
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
