@@ -50,6 +50,8 @@ LEAST_Z = 6.0
 LEAST_DOCUMENTS = 5
 # Labelled rows that the trees are fitted on, drawn by a hash of the id where there are more.
 FIT_ROWS = 60_000
+# What a split of the trees leaves on either side: little, as a domain may have a few labelled rows only.
+LEAST_WEIGHT = 0.3
 STEPS = 40
 TOLERANCE = 1e-5
 SEED = 7
@@ -179,7 +181,7 @@ def fit_domains(table: DataFrame, labelled: DataFrame, n_domains: int, rows: int
     width = len(FEATURES) + 2 * n_domains
     x = np.stack(known["x"]) if len(known) else np.zeros((0, width))
     domain = known["domain"].to_numpy()
-    return DomainModel([fit_trees(x, (domain == k).astype(float), rounds=40) for k in range(n_domains)])
+    return DomainModel([fit_trees(x, (domain == k).astype(float), rounds=40, least_weight=LEAST_WEIGHT) for k in range(n_domains)])
 
 
 def memberships(table: DataFrame, model: DomainModel, names: Sequence[str]) -> DataFrame:

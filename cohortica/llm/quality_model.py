@@ -146,10 +146,12 @@ class Trees:
 
 
 def fit_trees(
-    x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, depth: int = DEPTH, bins: int = BINS, rate: float = RATE
+    x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, depth: int = DEPTH, bins: int = BINS, rate: float = RATE,
+    least_weight: float = LEAST_WEIGHT,
 ) -> Trees:
     """Boosted trees for a 0/1 label under logistic loss; every feature is cut into ``bins`` quantile
-    bins first, and splits are found on histograms of gradients. Without two classes the trees are
+    bins first, and splits are found on histograms of gradients, with ``least_weight`` (summed second
+    derivatives) at least on either side. Without two classes the trees are
     empty and the score is the share of ones (0.5 without rows)."""
     share = float(np.mean(y)) if len(y) else 0.5
     inner, leaves = (1 << depth) - 1, 1 << depth
@@ -178,7 +180,7 @@ def fit_trees(
                 h = np.cumsum(np.bincount(cell, hess, size).reshape(width, bins), 1)
                 gt, ht = g[:, -1:], h[:, -1:]
                 gain = g**2 / (h + SHRINK) + (gt - g) ** 2 / (ht - h + SHRINK) - gt**2 / (ht + SHRINK)
-                gain[(h < LEAST_WEIGHT) | (ht - h < LEAST_WEIGHT)] = 0
+                gain[(h < least_weight) | (ht - h < least_weight)] = 0
                 gain = gain[:, : len(e)]
                 at = gain.argmax(1)
                 top = gain[np.arange(width), at]
