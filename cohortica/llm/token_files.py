@@ -15,6 +15,7 @@ document is then a slice of one memory-mapped file.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -23,7 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortica.llm.byte_bpe import _pieces
 from cohortica.llm.files import mapped, new_folder, replacing
+from cohortica.llm.words import SPACE
 
 # The end of a document.
 END_ID = 2
@@ -31,6 +34,8 @@ END_ID = 2
 NO_ID = -(1 << 63)
 # Distinct chunks whose ids a worker remembers, twice over.
 REMEMBERED = 500_000
+# Bytes of text taken at a time; a longer text is taken alone and whole.
+PIECE_BYTES = 2 << 20
 _encoders: dict[str, ChunkEncoder] = {}
 
 
@@ -56,25 +61,58 @@ class ChunkEncoder:
         import numpy as np
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        steps = json.dumps([made["normalizer"], made["pre_tokenizer"]])
+        if made["model"].get("end_of_word_suffix") != "</w>" or not all(x in steps for x in ('"Lowercase"', '"Split"', "\\\\s")):
+            raise ValueError("texts are encoded chunk by chunk, for tokenizers with word ends, lower case and no white space")
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.dtype = id_type(len(vocabulary))
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.inside = np.ones(256, bool)
+        self.inside[list(SPACE)] = False
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def encode(self, text: bytes) -> bytes:
         """The ids of a text in UTF-8, packed."""
-        chunks = text.split()  # of bytes: at ASCII white space only
-        found = [self.known.get(c) for c in chunks]
-        if None in found:
-            self._learn({c for c, f in zip(chunks, found, strict=True) if f is None})
-            found = [self.known[c] if f is None else f for c, f in zip(chunks, found, strict=True)]
-        return b"".join(found)
+        import numpy as np
 
-    def _learn(self, chunks: set[bytes]) -> None:
+        ids, _ = self.encode_texts(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        return bytes(ids)
+
+    def encode_texts(self, data, offsets):
+        """The packed ids of the texts ``data[offsets[i]:offsets[i+1]]`` one after the other, and the byte
+        where each text's begin, with the end. Equal chunks are looked up once."""
+        import numpy as np
+        import pyarrow as pa
+
+        inside = self.inside[data]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        starts, ends = inside.copy(), inside.copy()
+        starts[1:] &= ~inside[:-1] | edge[1:-1]
+        ends[:-1] &= ~inside[1:] | edge[1:-1]
+        starts = np.flatnonzero(starts)
+        lengths = np.flatnonzero(ends) + 1 - starts
+        bounds = np.append(0, np.cumsum(lengths)).astype(np.int64)
+        chunks = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[inside])]
+        ).dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        found = [self.known.get(c) for c in distinct]
+        if None in found:
+            self._learn([c for c, f in zip(distinct, found, strict=True) if f is None])
+            found = [self.known[c] if f is None else f for c, f in zip(distinct, found, strict=True)]
+        taken = pa.array(found, pa.large_binary()).take(chunks.indices)
+        _, place, content = taken.buffers()
+        at = np.frombuffer(place, np.int64)[: len(taken) + 1]
+        return memoryview(content or b""), at[np.searchsorted(starts, offsets)]
+
+    def _learn(self, chunks: list[bytes]) -> None:
         if len(self.known) > REMEMBERED:  # what is in use moves over again from the older half
             self.older, self.known = self.known, {}
         if len(self.words) > REMEMBERED:
@@ -182,11 +220,13 @@ def write_token_files(
         with replacing(*names) as (ids, ids_of, lengths):
             for batch in batches:
                 sizes = []
-                for text in batch.column(1).cast(pa.large_binary()):
-                    data = code.encode(text.as_py())
-                    ids.write(data)
-                    ids.write(end)
-                    sizes.append(len(data) // width + 1)
+                for _, data, offsets in _pieces(batch.column(1), PIECE_BYTES):
+                    made, at = code.encode_texts(data, offsets)
+                    at = at.tolist()
+                    for x, y in zip(at, at[1:], strict=False):
+                        ids.write(made[x:y])
+                        ids.write(end)
+                        sizes.append((y - x) // width + 1)
                 ids_of.write(batch.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
                 lengths.write(np.array(sizes, "<i8").tobytes())
                 n, total = n + len(sizes), total + sum(sizes)

@@ -68,6 +68,13 @@ def test_wide_vocabularies_take_32_bits():
 
 
 def test_tokenizers_without_word_ends_are_refused():
-    code = tf.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
     with pytest.raises(ValueError):
-        code.encode(b"two words")
+        tf.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_many_texts_at_a_time():
+    texts = ["", "One two,  two", " \n", "One\x0btwo! 東京", prose(1, 50)]
+    raw = [t.encode() for t in texts]
+    ids, at = tf.encoder(PATH).encode_texts(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw])))
+    got = [np.frombuffer(ids[x:y], "<u2").tolist() for x, y in zip(at, at[1:], strict=False)]
+    assert got == [WHOLE.encode(t, add_special_tokens=False).ids for t in texts]
