@@ -1070,3 +1070,34 @@ def health_model(spark, sf):
 @query("q_table_importances")
 def table_importances(spark, sf):
     return features.table_importances(features.churn_table(load(spark, sf, "fx_telco")), "customer_id", "churned", boosted=True)
+
+
+# Three trees over the parts, as literals on both sides: tree, node, feature, threshold, left, right, value, weight.
+_TREES = [
+    (0, 0, "p_size", 24.5, 1, 2, None, 1.0), (0, 1, "p_retailprice", 1200.0, 3, 4, None, 1.0),
+    (0, 2, None, None, None, None, 0.75, 1.0), (0, 3, None, None, None, None, -0.5, 1.0),
+    (0, 4, "p_size", 10.0, 5, 6, None, 1.0), (0, 5, None, None, None, None, 0.125, 1.0),
+    (0, 6, None, None, None, None, -0.25, 1.0), (1, 0, "p_retailprice", 1500.0, 1, 2, None, 0.5),
+    (1, 1, None, None, None, None, 1.0, 0.5), (1, 2, None, None, None, None, -1.0, 0.5),
+    (2, 0, None, None, None, None, 0.25, 0.5),
+]
+_TREE_VALUES = ", ".join("(" + ", ".join("null" if v is None else f"'{v}'" if isinstance(v, str) else f"{v!r}" + ("" if isinstance(v, int) else "e0") for v in r) + ")" for r in _TREES)
+
+
+@query(
+    "q_tree_walk",
+    f"with recursive nodes(tree, node, feature, threshold, l, r, v, weight) as (values {_TREE_VALUES}), "
+    "place(p_partkey, p_size, p_retailprice, tree, node) as (select p_partkey, p_size, p_retailprice, tree, 0 from part, "
+    "(select distinct tree from nodes) union all select p_partkey, p_size, p_retailprice, place.tree, "
+    "case when case feature when 'p_size' then cast(p_size as double) else cast(p_retailprice as double) end <= threshold then l else r end "
+    "from place join nodes on place.tree = nodes.tree and place.node = nodes.node where l is not null) "
+    "select p_partkey, cast(count(*) as bigint) as leaves, 1 / (1 + exp(-2 * sum(v * weight))) as score "
+    "from place join nodes on place.tree = nodes.tree and place.node = nodes.node where l is null group by p_partkey",
+    {"score": 9},
+)
+def tree_walk(spark, sf):
+    from cohortica.operators import trees
+
+    leaves = trees.walk(table(spark, sf, "part"), spark.createDataFrame(_TREES, trees.NODES), "p_partkey", ["p_size", "p_retailprice"])
+    score = 1 / (1 + F.exp(-2 * F.sum(F.col("value") * F.col("weight"))))
+    return leaves.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("leaves"), score.alias("score"))

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # A prime a little above a million: the number of distinct places a key can hash to.
 PLACES = 1_000_003
+# Forests grow until leaves are pure; this is the deepest that Spark can grow a tree.
+DEEPEST = 30
 
 
 def is_test_row(key: str, test: float = 0.3, seed: int = 17) -> Column:
@@ -41,10 +43,11 @@ def fit_forest(
     feats: Sequence[str],
     label: str,
     trees: int = 100,
-    depth: int = 8,
+    depth: int = DEEPEST,
     seed: int = 42,
 ) -> PipelineModel:
-    """Random forest; features and label must have no nulls."""
+    """Random forest; features and label must have no nulls. Trees are grown out unless ``depth`` stops
+    them sooner."""
     return _fit(
         RandomForestClassifier(
             featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed
