@@ -123,6 +123,28 @@ def frequent_itemsets(spark, sf):
     return itemsets(spark, sf).select(F.array_join("items", "|").alias("items"), "n", "support")
 
 
+@query(
+    "q_itemsets_up_to_two",
+    ITEMSETS + "select array_to_string(items, '|') as items, n, support from sets where len(items) <= 2",
+    {"support": 6},
+)
+def itemsets_up_to_two(spark, sf):
+    found = baskets.frequent_itemsets(load(spark, sf, "fx_baskets"), MIN_SUPPORT, max_len=2)
+    return found.select(F.array_join("items", "|").alias("items"), "n", "support")
+
+
+@query(
+    "q_confident_rules",
+    RULES
+    + "select array_to_string(antecedent, '|') as antecedent, "
+    "array_to_string(consequent, '|') as consequent, support, confidence, lift from rules where confidence >= 0.18e0",
+    {"support": 6, "confidence": 6, "lift": 6},
+)
+def confident_rules(spark, sf):
+    found = baskets.association_rules(itemsets(spark, sf), "confidence", 0.18)
+    return found.withColumns({c: F.array_join(c, "|") for c in ("antecedent", "consequent")})
+
+
 @query(
     "q_assoc_rules",
     RULES

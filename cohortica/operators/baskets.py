@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortica.functions.columns import concat_key, month_key
-from cohortica.session import parallelism, settle, small_side
+from cohortica.operators.ranking import global_rank
+from cohortica.session import settle, small_side
 
 
 def monthly_items(
@@ -63,31 +65,69 @@ def frequent_itemsets(
 ) -> DataFrame:
     """Itemsets held by at least ``min_support`` of the baskets, of up to ``max_len`` items if given.
 
-    ``items`` has one row per basket and item. Items that are not frequent alone are dropped
-    first, so the baskets that FP-growth gets hold only frequent items.
+    ``items`` has one row per basket and item. Sets grow level by level, so a limit bounds the work. Items are
+    coded by their rank, the rarest first, and infrequent ones dropped. Every frequent set keeps the *rests* of
+    the baskets that hold it: their items after its last one, equal rests as one row with a count. The sets
+    of the next level are a set and an item of its rests; from three items on only those are counted all of
+    whose parts are frequent.
     """
+    spark = items.sparkSession
     cells = settle(items.select("basket", "item").distinct())
     baskets = cells.agg(F.count_distinct("basket")).first()[0]
-    if not baskets:
-        return items.sparkSession.createDataFrame([], "items array<string>, n bigint, support double")
-    least = max(1, _ceil(min_support * baskets))
-    frequent = cells.groupBy("item").count().where(F.col("count") >= least).select("item")
-    kept = gather(cells.join(small_side(frequent), "item", "left_semi"))
-    kept = settle(kept)
-    held = kept.count()
-    if not held:
-        return items.sparkSession.createDataFrame([], "items array<string>, n bigint, support double")
-    # The support is given among the baskets that are left, half a basket below the limit.
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / held))
-    found = model.setNumPartitions(parallelism(items.sparkSession, -(-held // 10_000))).fit(kept).freqItemsets
-    found = found.where(F.col("freq") >= least)
-    if max_len is not None:
-        found = found.where(F.size("items") <= max_len)
-    return found.select(
-        F.sort_array("items").alias("items"),
-        F.col("freq").alias("n"),
-        (F.col("freq") / F.lit(baskets)).alias("support"),
+    least = max(1, _ceil(min_support * (baskets or 0)))
+    frequent = cells.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    codes = settle(global_rank(settle(frequent), ["n", "item"], "code").withColumn("code", F.col("code").cast("int")))
+    level = codes.select(F.col("code").cast("long").alias("id"), F.array("code").alias("codes"), "n")
+    # A basket is the rest of the empty set; its items in order make the rests of the sets of one.
+    coded = cells.join(small_side(codes.select("item", "code")), "item")
+    rests = coded.groupBy("basket").agg(F.sort_array(F.collect_list("code")).alias("rest"))
+    rests = rests.groupBy("rest").agg(F.count(F.lit(1)).alias("w"))
+    rests = settle(
+        rests.select(F.posexplode("rest").alias("_at", "code"), "rest", "w")
+        .select(F.col("code").cast("long").alias("id"), F.expr("slice(rest, _at + 2, size(rest))").alias("rest"), "w")
+        .where(F.size("rest") > 0)
+        .groupBy("id", "rest").agg(F.sum("w").alias("w"))
+    )
+    levels, size = [level], 1
+    while max_len is None or size < max_len:
+        size += 1
+        grown = rests.select("id", F.posexplode("rest").alias("_at", "code"), "rest", "w")
+        if size > 2:
+            grown = grown.join(small_side(_candidates(level)), ["id", "code"])
+        counts = grown.groupBy("id", "code").agg(F.sum("w").alias("n")).where(F.col("n") >= least)
+        counts = settle(counts.withColumn("next", F.monotonically_increasing_id()))
+        if not counts.limit(1).count():
+            break
+        before = level.select("id", "codes")
+        level = settle(
+            counts.join(before, "id").select(F.col("next").alias("id"), F.concat("codes", F.array("code")).alias("codes"), "n")
+        )
+        levels.append(level)
+        rests = settle(
+            grown.where(F.expr("_at + 1 < size(rest)"))
+            .join(small_side(counts.select("id", "code", "next")), ["id", "code"])
+            .select(F.col("next").alias("id"), F.expr("slice(rest, _at + 2, size(rest))").alias("rest"), "w")
+            .groupBy("id", "rest").agg(F.sum("w").alias("w"))
+        )
+    found = reduce(DataFrame.unionByName, levels).select(F.monotonically_increasing_id().alias("id"), "codes", "n")
+    found = settle(found)
+    names = (
+        found.select("id", F.explode("codes").alias("code")).join(small_side(codes.select("code", "item")), "code")
+        .groupBy("id").agg(F.sort_array(F.collect_list("item")).alias("items"))
     )
+    return found.join(names, "id").select("items", "n", (F.col("n") / F.lit(max(baskets or 0, 1))).alias("support"))
+
+
+def _candidates(level: DataFrame) -> DataFrame:
+    """``id, code``: how a set of ``id, codes`` may grow. Two sets that differ in their last item make one
+    larger set; it counts only if all its parts of the present size are there."""
+    parts = level.select("id", "codes", F.expr("slice(codes, 1, size(codes) - 1)").alias("_prefix"), F.element_at("codes", -1).alias("_last"))
+    other = parts.select("_prefix", F.col("_last").alias("code"))
+    pairs = settle(parts.join(other, "_prefix").where("_last < code").select("id", "code", F.concat("codes", F.array("code")).alias("_all")))
+    without = F.transform(F.sequence(F.lit(0), F.size("_all") - 3), lambda i: F.filter("_all", lambda _, j: j != i))
+    needed = pairs.select("id", "code", F.explode(without).alias("codes"), (F.size("_all") - 2).alias("_parts"))
+    known = needed.join(level.select("codes"), "codes").groupBy("id", "code", "_parts").agg(F.count(F.lit(1)).alias("_n"))
+    return known.where(F.col("_n") == F.col("_parts")).select("id", "code")
 
 
 def _ceil(x: float) -> int:
@@ -101,34 +141,47 @@ def association_rules(
 ) -> DataFrame:
     """Every split of a frequent itemset into antecedent and consequent, both of any size.
 
-    Splits are bit masks over the sorted items. All parts of a frequent itemset are frequent, so
-    their supports come from the itemsets themselves.
+    Consequents grow item by item, one join per level. All parts of a frequent itemset are frequent, so
+    supports come from the itemsets themselves. A rule's confidence can only fall as its consequent grows, so
+    with that metric a consequent below the threshold is not grown further; and the support of all
+    rules of a set is the set's.
     """
     if metric not in ("support", "confidence", "lift"):
         raise ValueError(metric)
-    itemsets = small_side(itemsets)
-    masks = F.sequence(
-        F.lit(1), F.call_function("shiftleft", F.lit(1), F.size("items")) - 2
+    itemsets = settle(itemsets.select(F.sort_array("items").alias("items"), "support"))
+    known = small_side(itemsets)
+    whole = itemsets.where(F.size("items") >= 2)
+    if metric == "support":
+        whole = whole.where(F.col("support") >= F.lit(min_threshold))
+    longest = whole.agg(F.max(F.size("items"))).first()[0] or 1
+    grown = whole.select("items", "support", F.array().cast(dict(itemsets.dtypes)["items"]).alias("consequent"))
+    levels = []
+    for _ in range(longest - 1):
+        more = F.filter("items", lambda x: (F.size("consequent") == 0) | (x > F.try_element_at("consequent", F.lit(-1))))
+        grown = (
+            grown.where(F.size("items") > F.size("consequent") + 1)
+            .select("items", "support", "consequent", F.explode(more).alias("_item"))
+            .select("items", "support", F.concat("consequent", F.array("_item")).alias("consequent"))
+            .withColumn("antecedent", F.array_except("items", "consequent"))
+            .join(known.select(F.col("items").alias("antecedent"), F.col("support").alias("_antecedent")), "antecedent")
+            .withColumn("confidence", F.col("support") / F.col("_antecedent"))
+        )
+        if metric == "confidence":
+            grown = grown.where(F.col("confidence") >= F.lit(min_threshold))
+        grown = settle(grown)
+        if not grown.limit(1).count():
+            break
+        levels.append(grown)
+    if not levels:
+        kind = dict(itemsets.dtypes)["items"]
+        return itemsets.sparkSession.createDataFrame(
+            [], f"antecedent {kind}, consequent {kind}, support double, confidence double, lift double"
+        )
+    rules = reduce(DataFrame.unionByName, levels).join(
+        known.select(F.col("items").alias("consequent"), F.col("support").alias("_consequent")), "consequent"
     )
-    whole = itemsets.where(F.size("items") >= 2).withColumn("_mask", F.explode(masks))
-
-    def part(side: int):
-        def chosen(_, i):
-            return F.col("_mask").bitwiseAND(F.call_function("shiftleft", F.lit(1), i)) == (
-                F.call_function("shiftleft", F.lit(side), i)
-            )
-
-        return F.filter("items", chosen)
-
-    def supports(name: str) -> DataFrame:
-        return itemsets.select(F.col("items").alias(name), F.col("support").alias(f"_{name}"))
-
     return (
-        whole.select(part(1).alias("antecedent"), part(0).alias("consequent"), "support")
-        .join(supports("antecedent"), "antecedent")
-        .join(supports("consequent"), "consequent")
-        .withColumn("confidence", F.col("support") / F.col("_antecedent"))
-        .withColumn("lift", F.col("confidence") / F.col("_consequent"))
+        rules.withColumn("lift", F.col("confidence") / F.col("_consequent"))
         .where(F.col(metric) >= F.lit(min_threshold))
         .select("antecedent", "consequent", "support", "confidence", "lift")
     )

@@ -122,3 +122,34 @@ def test_latest_favourite(spark):
     ]
     df = spark.createDataFrame(rows, "user_id long, movie_id string, rating double, ts timestamp_ntz")
     assert collaborative.latest_favourite(df).collect() == [(1, "y")]
+
+
+def test_long_itemsets_grow_only_confident_consequents(spark):
+    from pyspark.sql import functions as F
+
+    names = [f"i{k:02}" for k in range(40)]
+    sets = [(names, 0.5)] + [([x for x in names if x != y], 0.5 if y == "i07" else 0.9) for y in names] + [([x], 0.9) for x in names]
+    table = spark.createDataFrame(sets, "items array<string>, support double")
+    got = baskets.association_rules(table, "confidence", 0.9).where(F.size("antecedent") == 39).collect()
+    assert [(r.consequent, r.confidence) for r in got] == [(["i07"], 1.0)]
+
+
+def test_rules_by_brute_force(spark):
+    import random
+
+    rng = random.Random(4)
+    groups = ["".join(sorted(set(rng.choices("abcdef", [9, 8, 6, 4, 3, 2], k=6)))) for _ in range(60)]
+    sets = {tuple(r["items"]): r["support"] for r in baskets.frequent_itemsets(cells(spark, groups), 0.05).collect()}
+    table = baskets.frequent_itemsets(cells(spark, groups), 0.05)
+    for metric, least in (("confidence", 0.4), ("lift", 1.05), ("support", 0.1)):
+        got = {(tuple(r.antecedent), tuple(r.consequent)): getattr(r, metric) for r in baskets.association_rules(table, metric, least).collect()}
+        want = {}
+        for whole, support in sets.items():
+            for mask in range(1, 2 ** len(whole) - 1):
+                a = tuple(x for i, x in enumerate(whole) if mask >> i & 1)
+                b = tuple(x for i, x in enumerate(whole) if not mask >> i & 1)
+                value = {"support": support, "confidence": support / sets[a], "lift": support / sets[a] / sets[b]}[metric]
+                if value >= least:
+                    want[a, b] = value
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    assert baskets.association_rules(table.limit(0), "lift", 0.1).collect() == []
