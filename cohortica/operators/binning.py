@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortica.operators.quantiles import exact_quantiles, grouped_quantile
+from cohortica.operators.quantiles import exact_quantiles, grouped_quantile, order_statistics
 from cohortica.operators.ranking import global_rank
 from cohortica.session import small_side
 
@@ -52,25 +54,49 @@ def qcut_interval(df: DataFrame, col: str, k: int) -> DataFrame:
     )
 
 
-def rank_bin(rank: Column, n: int, k: int) -> Column:
-    """The quantile bin of rank 1..n among k, as binning the ranks themselves would give."""
+def rank_cuts(df: DataFrame, col: str, k: int, tie: str) -> list[tuple]:
+    """The last row of each bin but the highest, as ``(value, tie)``, when rows are ranked by ``(col, tie)``
+    and their ranks binned into ``k`` quantile bins.
+
+    The values are order statistics, found by counting. Only where a cut falls among equal values are the
+    ties of those rows ranked, and nothing else of the rows is moved.
+    """
+    n = df.agg(F.count(f"`{col}`")).first()[0]
     if n < 2:
-        return F.lit(1)
-    return F.greatest(F.lit(1), F.ceil((rank - 1) * k / F.lit(n - 1))).cast("int")
+        return []
+    places = [b * (n - 1) // k for b in range(1, k)]
+    values = order_statistics(df, col, places)
+    x = F.col(f"`{col}`").cast("double")
+    counts = df.agg(*[F.count_if(x < v) for v in values], *[F.count_if(x == v) for v in values]).first()
+    inside = {v: [] for v in values}
+    for place, v, below, equal in zip(places, values, counts, counts[len(values) :]):
+        inside[v].append((place - below, equal))
+    asked = F.lit(None).cast("int")
+    for i, v in enumerate(inside):
+        asked = F.when(x == v, F.lit(i)).otherwise(asked)
+    wanted = [(i, m + 1) for i, cuts in enumerate(inside.values()) for m, _ in cuts]
+    tied = df.select(asked.alias("_v"), F.col(f"`{col}`").alias("_x"), F.col(f"`{tie}`").alias("_tie")).where("_v is not null")
+    ranked = global_rank(tied, ["_x", "_tie"], "_rank", group=["_v"])
+    chosen = reduce(or_, [(F.col("_v") == i) & (F.col("_rank") == r) for i, r in wanted])
+    found = {(r._v, r._rank): (r._x, r._tie) for r in ranked.where(chosen).collect()}  # a row per cut
+    return [found[w] for w in wanted]
 
 
 def rank_qcut(
     df: DataFrame, col: str, k: int, tie: str, labels: Sequence | None = None, out: str = "bin"
 ) -> DataFrame:
-    """Bins of equal size: rows are ranked first, ties split by ``tie``, null stays null."""
-    present = df.where(F.col(col).isNotNull())
-    n = present.count()
-    ranked = global_rank(present, [col, tie], "_rank")
-    bins = rank_bin(F.col("_rank"), n, k)
+    """Bins of equal size: rows are ranked first, ties split by the unique key ``tie``, null stays null.
+
+    Rows are compared with the ``k - 1`` rows that end the lower bins; they are neither sorted nor moved.
+    """
+    value, key = F.col(f"`{col}`"), F.col(f"`{tie}`")
+    bins = F.lit(1)
+    for v, t in rank_cuts(df, col, k, tie):
+        later = key.isNotNull() if t is None else F.coalesce(key > F.lit(t), F.lit(False))
+        bins = bins + ((value > F.lit(v)) | ((value == F.lit(v)) & later)).cast("int")
     if labels is not None:
         bins = F.element_at(F.array(*[F.lit(x) for x in labels]), bins)
-    nulls = df.where(F.col(col).isNull()).withColumn(out, F.lit(None))
-    return ranked.withColumn(out, bins).drop("_rank").unionByName(nulls)
+    return df.withColumn(out, F.when(value.isNotNull(), bins))
 
 
 def cut(value: Column, edges: Sequence[float], labels: Sequence) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortica.functions.columns import approx_distinct
+from cohortica.operators.ranking import running_total
 from cohortica.session import settle
 
 # Most distinct values of one bracket that may come to the driver.
@@ -80,6 +81,24 @@ def exact_quantiles(
         place = max(t.inside - 1, 0) * t.prob
         t.first, t.second = math.floor(place), math.ceil(place)
         t.share = place - t.first
+    picked = _settled(df, targets, few)
+    return {c: [picked.get((c, float(p))) for p in probs] for c in cols}
+
+
+def order_statistics(df: DataFrame, col: str, places: Sequence[int], few: int = FEW_VALUES) -> list[float]:
+    """The values at 0-based ``places`` of the column in ascending order, nulls left out, exactly."""
+    row = df.agg(F.count(f"`{col}`").alias("n"), approx_distinct(F.col(f"`{col}`").cast("double")).alias("d")).first()
+    if places and not 0 <= min(places) <= max(places) < row.n:
+        raise ValueError(f"{col} has {row.n} values")
+    targets = [_Target(col, float(p), p, p, 0.0, inside=row.n, distinct=row.d) for p in dict.fromkeys(places)]
+    found: dict[tuple[str, float], float] = {}
+    for at in range(0, len(targets), TARGETS_PER_PASS):
+        found.update(_settled(df, targets[at : at + TARGETS_PER_PASS], few))
+    return [found[col, float(p)] for p in places]
+
+
+def _settled(df: DataFrame, targets: list[_Target], few: int) -> dict[tuple[str, float], float]:
+    """Narrow all brackets, then pick: the value of every target that has rows."""
     live = [t for t in targets if t.inside]
     wide = [t for t in live if t.distinct > few]
     while wide:
@@ -89,7 +108,7 @@ def exact_quantiles(
         ]
     picked = _pick(df, [t for t in live if t.exact is None])
     picked.update({(t.column, t.prob): t.exact for t in live if t.exact is not None})
-    return {c: [picked.get((c, float(p))) for p in probs] for c in cols}
+    return picked
 
 
 def _narrow(df: DataFrame, targets: list[_Target]) -> None:
@@ -126,8 +145,10 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> None:
 
 def _by_sorting(df: DataFrame, target: _Target) -> float:
     """The way out when a sketch cannot bracket a rank: the range-partitioned path."""
-    one = df.select(F.lit(1).alias("_all"), target.value().alias("_x"))
-    return grouped_quantile(one, ["_all"], "_x", target.prob, "q").first()["q"]
+    values = df.select(target.value().alias("_x")).where("_x is not null").groupBy("_x").agg(F.count(F.lit(1)).alias("_n"))
+    upto = running_total(values, ["_x"], "_n", "_upto")
+    lower, upper = (upto.where(F.col("_upto") > p).agg(F.min("_x")).first()[0] for p in (target.first, target.second))
+    return lower + target.share * (upper - lower)
 
 
 def _pick(df: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], float]:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortica.operators.moments import co_moments
 from cohortica.operators.profile import melt
 from cohortica.session import small_side
 
@@ -233,32 +234,23 @@ def rare_analysis(
     )
 
 
-def corr_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], batch: int = 60) -> dict:
+def corr_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> dict:
     """Pearson correlation over rows where both are present: ``{(a, b): value}``.
 
-    None where a correlation is undefined: fewer than two rows, or a constant column.
+    None where a correlation is undefined: fewer than two rows, or a constant column. One pass for all
+    pairs together.
     """
-    found = {}
-    for start in range(0, len(pairs), batch):
-        part = pairs[start : start + batch]
-        moments = []
-        for i, (a, b) in enumerate(part):
-            x, y = F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")
-            both = x.isNotNull() & y.isNotNull()
-            moments += [
-                F.covar_pop(x, y).alias(f"c{i}"),
-                F.stddev_pop(F.when(both, x)).alias(f"x{i}"),
-                F.stddev_pop(F.when(both, y)).alias(f"y{i}"),
-            ]
-        row = df.agg(*moments).first()
-        for i, pair in enumerate(part):
-            spread = (row[f"x{i}"] or 0.0) * (row[f"y{i}"] or 0.0)
-            found[pair] = row[f"c{i}"] / spread if spread else None
-    return found
+    cols = list(dict.fromkeys(c for pair in pairs for c in pair))
+    if not cols:
+        return {}
+    found = co_moments(df, cols).correlation()
+    at = {c: i for i, c in enumerate(cols)}
+    values = {pair: float(found[at[pair[0]], at[pair[1]]]) for pair in pairs}
+    return {pair: None if v != v else v for pair, v in values.items()}
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """All pairwise correlations as rows ``(a, b, corr)``; one pass per 60 column pairs."""
+    """All pairwise correlations as rows ``(a, b, corr)``, from one pass."""
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     found = corr_pairs(df, pairs)

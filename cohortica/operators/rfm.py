@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortica.functions.columns import whole_days
-from cohortica.operators.binning import edge_bin, quantile_edges, rank_bin
-from cohortica.operators.ranking import global_rank
+from cohortica.operators.binning import edge_bin, quantile_edges, rank_qcut
 from cohortica.session import settle
 
 # Segment names by recency and frequency score.
@@ -81,21 +80,10 @@ def rfm_scores(rfm: DataFrame, customer: str, k: int = 5) -> DataFrame:
     """
     rfm = settle(rfm)
     edges = quantile_edges(rfm, ["recency", "monetary"], k)
-    n = rfm.count()
-    ranked = global_rank(rfm, ["frequency", customer], "_rank")
-    return (
-        ranked.withColumn(
-            "recency_score", edge_bin(F.col("recency"), edges["recency"], range(k, 0, -1))
-        )
-        .withColumn("frequency_score", rank_bin(F.col("_rank"), n, k))
-        .withColumn("monetary_score", edge_bin(F.col("monetary"), edges["monetary"]))
-        .withColumn(
-            "rf_score",
-            F.concat(
-                F.col("recency_score").cast("string"), F.col("frequency_score").cast("string")
-            ),
-        )
-        .drop("_rank")
+    recent = rfm.withColumn("recency_score", edge_bin(F.col("recency"), edges["recency"], range(k, 0, -1)))
+    ranked = rank_qcut(recent, "frequency", k, customer, out="frequency_score")
+    return ranked.withColumn("monetary_score", edge_bin(F.col("monetary"), edges["monetary"])).withColumn(
+        "rf_score", F.concat(F.col("recency_score").cast("string"), F.col("frequency_score").cast("string"))
     )
 
 

@@ -123,6 +123,32 @@ def test_rank_qcut_sizes(spark, n, k):
     assert [r["bin"] for r in got] == want
 
 
+@pytest.mark.parametrize("key", [str, int])
+def test_rank_qcut_splits_ties_by_key_and_moves_no_row(spark, key):
+    rng = np.random.default_rng(8)
+    rows = [(key(int(i)), None if v == 9 else float(v)) for i, v in zip(rng.permutation(1000) + 1000, rng.integers(0, 10, 1000))]
+    df = spark.createDataFrame(rows, f"id {'string' if key is str else 'long'}, x double").repartition(4)
+    got = binning.rank_qcut(df, "x", 7, "id")
+    assert "Exchange range" not in got._jdf.queryExecution().executedPlan().toString()
+    ranked = pd.DataFrame(rows, columns=["id", "x"]).dropna().sort_values(["x", "id"]).reset_index(drop=True)
+    want = dict(zip(ranked.id, pd.qcut(pd.Series(ranked.index + 1), 7, labels=False) + 1))
+    assert {r.id: r.bin for r in got.where("x is not null").collect()} == {k: int(v) for k, v in want.items()}
+    assert got.where("x is null and bin is not null").count() == 0 and got.columns == ["id", "x", "bin"]
+
+
+def test_order_statistics(spark):
+    from cohortica.operators.quantiles import order_statistics
+
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=3000), 2)
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double")
+    places = [0, 1, 17, 1500, 1501, 2999]
+    for few in (10, 20_000):
+        assert order_statistics(df, "x", places, few) == np.sort(x)[places].tolist()
+    with pytest.raises(ValueError):
+        order_statistics(df, "x", [3000])
+
+
 def test_rank_qcut_keeps_nulls_and_labels(spark):
     df = spark.createDataFrame([(1, 2.0), (2, 2.0), (3, None)], "id long, x double")
     got = binning.rank_qcut(df, "x", 2, "id", labels=["low", "high"]).orderBy("id").collect()
