@@ -120,3 +120,34 @@ def test_knn_impute_without_shared_features(spark):
     )
     got = nb.knn_impute(df, "age", ["p"], "id", 1).orderBy("id").collect()
     assert [r["age"] for r in got] == [10.0, 20.0, 15.0]
+
+
+def test_eight_correlated_columns_meet_few_cells(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 1)) + 0.05 * rng.normal(size=(3000, 8))
+    names = [f"f{i}" for i in range(8)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "key long, " + ", ".join(f"{n} double" for n in names))
+    met, nearest = [], nb._nearest
+
+    def counted(queries, placed, sizes, *rest):
+        met.append((queries.count(), sizes.count()))
+        return nearest(queries, placed, sizes, *rest)
+
+    monkeypatch.setattr(nb, "_nearest", counted)
+    monkeypatch.setattr(nb, "HALVINGS", 3)  # a tree of several levels
+    got = nb.knn_join(df, df, names, 5, skip_self=True, cell_rows=30).toPandas()
+    cells = met[0][1]
+    assert cells >= 100 and sum(n for n, _ in met) < 0.25 * cells * 3000  # cells met by all queries together
+    some = rng.choice(3000, 40, replace=False)
+    for q in some.tolist():
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        assert sorted(got[got.key == q].donor) == sorted(np.argsort(d, kind="stable")[:5].tolist())
+
+
+def test_cells_hold_few_donors_unless_they_are_one_point(spark):
+    rows = points(400, 5, True)
+    placed, levels = nb.cell_tree(frame(spark, rows), ["a", "b", "c"], "key", 8)
+    sizes = placed.groupBy("_cell", "a", "b", "c").count().groupBy("_cell").agg({"count": "sum", "*": "count"}).toDF("cell", "n", "points").collect()
+    assert sum(r.n for r in sizes) == 400 and all(r.n <= 8 or r.points == 1 for r in sizes)
+    assert sum(level.where("_leaf").count() for level in levels) == len(sizes)
