@@ -7,6 +7,7 @@ counts, and each step evaluates many parameter points in one pass over them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -259,23 +260,62 @@ def fit_gamma_gamma(base: DataFrame, penalizer: float = 0.001) -> GammaGamma:
 # Predictions
 
 
-# Terms of the hypergeometric series after which it is an error not to have converged.
-TERMS = 2_000_000
+# Up to here 2F1 is summed as it stands, a few hundred terms at most; beyond, in powers of 1 - z.
+NEAR_ONE = 0.9
+# How far the parameters are moved where the two sums of that form are infinite and cancel.
+APART = 1e-5
+
+
+def _plain_series(a, b, c, z) -> np.ndarray:
+    """The terms of 2F1 for arrays with z well below 1, summed until none matters."""
+    term, total, k = np.ones_like(z), np.ones_like(z), 0
+    while True:
+        term = term * ((a + k) * (b + k) / ((c + k) * (k + 1.0))) * z
+        total = total + term
+        k += 1
+        if not np.any(np.abs(term) > 1e-17 * np.abs(total)):
+            return total
+
+
+def _log_gamma(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithm of the size of the gamma function, and its sign; infinite at its poles."""
+    pole = (v <= 0) & (v == np.floor(v))
+    size = np.vectorize(math.lgamma, otypes=[float])(np.where(pole, 1.0, v))
+    return np.where(pole, np.inf, size), np.where((v > 0) | (np.floor(v) % 2 == 0), 1.0, -1.0)
+
+
+def _around_one(a, b, c, z) -> np.ndarray:
+    """2F1 for z near 1 as two sums in powers of 1 - z; c - a - b is no integer."""
+    s = c - a - b
+
+    def weight(above, below) -> tuple[np.ndarray, np.ndarray]:
+        sizes = [_log_gamma(np.asarray(v, float)) for v in (*above, *below)]
+        log = sum(x for x, _ in sizes[: len(above)]) - sum(x for x, _ in sizes[len(above) :])
+        return log, np.prod([sign for _, sign in sizes], axis=0)
+
+    near, sign = weight((c, s), (c - a, c - b))
+    first = sign * np.exp(near) * _plain_series(a, b, 1 - s, 1 - z)
+    far, sign = weight((c, -s), (a, b))
+    second = sign * np.exp(far + s * np.log1p(-z)) * _plain_series(c - a, c - b, 1 + s, 1 - z)
+    return first + second
 
 
 def _gauss_series(a: float, b: float, c: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """Gauss's 2F1(a, b; c; z) for 0 <= z < 1, summed until no term matters.
+    """Gauss's 2F1(a, b; c; z) for 0 <= z < 1 and c > 0, in a few hundred terms for any z.
 
-    Raises where that takes more than TERMS terms (z very near 1 with a + b > c).
+    Where c - a - b is (nearly) an integer, both sums around 1 are huge and cancel; there the mean of the values
+    for c a little larger and a little smaller is taken.
     """
-    term = np.ones_like(z)
-    total = np.ones_like(z)
-    for k in range(TERMS):
-        term = term * ((a + k) * (b + k) / ((c + k) * (k + 1.0))) * z
-        total += term
-        if not np.any(np.abs(term) > 1e-16 * np.abs(total)):
-            return total
-    raise ArithmeticError(f"2F1({a}, {b}; c; z) has not converged in {TERMS} terms")
+    a, b, c, z = np.broadcast_arrays(float(a), float(b), np.asarray(c, float), np.asarray(z, float))
+    out = np.empty(z.shape)
+    plain = ~(z > NEAR_ONE)
+    out[plain] = _plain_series(a[plain], b[plain], c[plain], z[plain])
+    a, b, c, z = (x[~plain] for x in (a, b, c, z))
+    if len(z):
+        s = c - a - b
+        move = np.where(np.abs(s - np.round(s)) < APART, APART, 0.0)
+        out[~plain] = (_around_one(a, b, c + move, z) + _around_one(a, b, c - move, z)) / 2
+    return out
 
 
 def expected_purchases(

@@ -303,3 +303,34 @@ def test_days_and_months(spark):
     )
     row = df.select(c.whole_days("a", "b"), c.months_apart("a", "b"), c.day_name("a")).first()
     assert tuple(row) == (0, 1, "Wednesday")
+
+
+def by_many_digits(a, b, c, z):
+    """2F1 term by term with 60 digits."""
+    from decimal import Decimal, getcontext
+
+    getcontext().prec = 60
+    a, b, c, z = (Decimal(v) for v in (a, b, c, z))
+    term = total = Decimal(1)
+    k = 0
+    while abs(term) > abs(total) * Decimal("1e-25"):
+        term *= (a + k) * (b + k) / ((c + k) * (k + 1)) * z
+        total += term
+        k += 1
+    return float(total)
+
+
+@pytest.mark.parametrize("a,b,c", [(0.3, 1.7, 2.9), (2.6, 3.1, 4.2), (1.5, 2.5, 6.0), (2.0, 1.0, 3.0), (-0.4, 0.7, 30.0), (5.2, 6.3, 3.5)])
+def test_gauss_series_near_one(a, b, c):
+    for z in (0.0, 0.5, 0.89, 0.91, 0.99, 0.999):
+        got = cltv._gauss_series(a, b, np.array([c]), np.array([z]))[0]
+        assert got == pytest.approx(by_many_digits(a, b, c, z), rel=2e-8)
+    # At the edge: what is left is the pole, or the value at 1.
+    z = 1 - 1e-9
+    got = cltv._gauss_series(a, b, np.array([c]), np.array([z]))[0]
+    import math
+
+    if c > a + b + 0.5:
+        assert got == pytest.approx(math.gamma(c) * math.gamma(c - a - b) / math.gamma(c - a) / math.gamma(c - b), rel=1e-3)
+    elif c < a + b - 0.5:
+        assert got == pytest.approx(math.gamma(c) * math.gamma(a + b - c) / math.gamma(a) / math.gamma(b) * (1 - z) ** (c - a - b), rel=1e-3)
