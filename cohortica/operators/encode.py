@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortica.operators.profile import distinct_counts, grab_col_names, melt, string_columns
 from cohortica.operators.ranking import global_rank
+from cohortica.session import settle, small_side
 
 # Most levels that are used as literals; longer level lists stay in a table.
 MANY_LEVELS = 1_000
@@ -119,7 +120,8 @@ def ohe_columns(df: DataFrame, categorical_only: bool = False, most: int = 10) -
 def rare_encode(df: DataFrame, cols: Sequence[str] | None, share: float) -> DataFrame:
     """Rename levels held by less than ``share`` of all rows to "Rare"; null stays null.
 
-    At most ``1 / share`` levels of a column are not rare, so those are the ones looked up.
+    At most ``1 / share`` levels of a column are not rare. Where that is at most MANY_LEVELS they are a
+    list in the plan; else they stay a table that the rows are joined to, so nothing passes the driver.
     """
     if not 0 < share <= 1:
         raise ValueError("share must be in (0, 1]")
@@ -128,6 +130,15 @@ def rare_encode(df: DataFrame, cols: Sequence[str] | None, share: float) -> Data
         return df
     total = df.count()
     counts = melt(df, cols).where(F.col("value").isNotNull()).groupBy("variable", "value").count()
+    if 1 / share > MANY_LEVELS:
+        common = settle(counts.where(F.col("count") / F.lit(total) >= share))
+        names = df.columns
+        for c in cols:
+            levels = common.where(F.col("variable") == c).select(F.col("value").alias("_level"))
+            df = df.join(small_side(levels), F.col(f"`{c}`") == F.col("_level"), "left").withColumn(
+                c, F.when(F.col(f"`{c}`").isNull(), F.col(f"`{c}`")).otherwise(F.coalesce("_level", F.lit("Rare")))
+            ).drop("_level")
+        return df.select(*[F.col(f"`{n}`") for n in names])
     kept: dict[str, list[str]] = {c: [] for c in cols}
     for variable, value, _ in counts.where(F.col("count") / F.lit(total) >= share).collect():
         kept[variable].append(value)

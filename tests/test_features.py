@@ -396,3 +396,15 @@ def test_feature_table_is_scaled(spark):
     assert len(got) == 300 and not {"CABIN", "NAME", "EMBARKED", "NEW_TITLE"} & set(got.columns)
     assert got.FARE.mean() == pytest.approx(0, abs=1e-9) and got.FARE.std(ddof=0) == pytest.approx(1)
     assert set(got.columns) >= {"NEW_TITLE_Mrs", "EMBARKED_Q", "EMBARKED_S", "NEW_IS_ALONE"}
+
+
+def test_rare_levels_of_a_tiny_share_are_joined(spark):
+    rows = [(i, f"v{i % 500}") for i in range(3000)] + [(9000 + i, f"once{i}") for i in range(40)] + [(9999, None)]
+    df = spark.createDataFrame(rows, "id long, `a b` string").withColumn("other", F.lit("x"))
+    total = len(rows)
+    got = encode.rare_encode(df, ["a b", "other"], 2 / total)
+    listed = encode.rare_encode(df, ["a b", "other"], 1e-6)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 / (2 / total) > encode.MANY_LEVELS and "v499" not in plan and got.columns == df.columns
+    assert {r.id: r["a b"] for r in got.collect()} == {i: v if v is None or v[0] == "v" else "Rare" for i, v in rows}
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, df.collect()), key=lambda r: r[0])
