@@ -725,7 +725,7 @@ def flags(spark, sf):
     )
 
 
-_SERVICES = ["backup", "protection", "support", "tv", "movies"]
+_SERVICES = ["phone", "lines", "security", "backup", "protection", "support", "tv", "movies"]
 _N_SERVICES = " + ".join(f"(case when {x} = 'Yes' then 1 else 0 end)" for x in _SERVICES)
 
 

@@ -74,7 +74,9 @@ select c_custkey as customer_id, c_custkey % 73 as tenure, 18e0 + (c_custkey * 3
        case c_custkey % 4 when 0 then 'Mailed check' when 1 then 'Bank transfer (automatic)' when 2 then 'Credit card (automatic)' else 'Electronic check' end as payment,
        case when c_custkey % 2 = 0 then 'Yes' else 'No' end as backup, case when c_custkey % 5 < 2 then 'Yes' else 'No' end as protection,
        case when c_custkey % 7 < 3 then 'Yes' else 'No' end as support, case when c_custkey % 11 < 5 then 'Yes' else 'No' end as tv,
-       case when c_custkey % 13 < 4 then 'Yes' else 'No' end as movies, case when (c_custkey * 7919) % 10 < 3 then ' Yes' else 'no' end as churn
+       case when c_custkey % 13 < 4 then 'Yes' else 'No' end as movies,
+       case when c_custkey % 10 < 9 then 'Yes' else 'No' end as phone, case when c_custkey % 9 < 4 then 'Yes' else 'No' end as lines,
+       case when c_custkey % 8 < 3 then 'Yes' else 'No' end as security, case when (c_custkey * 7919) % 10 < 3 then ' Yes' else 'no' end as churn
 from customer
 """,
     "fx_health": """
@@ -82,6 +84,7 @@ select p_partkey as id, (p_partkey * 7) % 12 as pregnancies, 21 + (p_partkey * 1
        case when p_partkey % 23 = 0 then 0e0 else 60e0 + (p_partkey * 37) % 140 end as glucose,
        case when p_partkey % 3 = 0 then 0e0 else 10e0 + 5e-1 * ((p_partkey * 37) % 140) + (p_partkey * 53) % 90 end as insulin,
        case when p_partkey % 4 = 0 then 0e0 else 10e0 + (p_partkey * 29) % 40 end as skin,
+       case when p_partkey % 19 = 0 then 0e0 else 50e0 + (p_partkey * 13) % 60 * 5e-1 + (p_partkey * 43) % 25 end as pressure,
        case when p_partkey % 17 = 0 then 0e0 else 15e0 + 5e-1 * ((p_partkey * 29) % 40) + (p_partkey * 11) % 50 / 1e1 end as bmi,
        case when (p_partkey * 37) % 140 + (p_partkey * 13) % 60 > 110 then 1 else 0 end as outcome
 from part

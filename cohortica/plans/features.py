@@ -46,11 +46,11 @@ WEIGHT_LABELS = ("Underweight", "Healthy", "Overweight", "Obese")
 SUGAR_EDGES, SUGAR_LABELS = (70, 100, 125), ("low", "normal", "hidden", "high")
 GLUCOSE_EDGES, GLUCOSE_LABELS = (0.0, 140.0, 200.0, 300.0), ("Normal", "Prediabetes", "Diabetes")
 INSULIN_RANGE = (16, 166)
-MEASURED = ("bmi", "skin", "insulin", "glucose")
+MEASURED = ("glucose", "pressure", "skin", "insulin", "bmi")
 TENURE_EDGES = (12, 24, 36, 48, 60)
 TENURE_YEARS = ("0-1 Year", "1-2 Year", "2-3 Year", "3-4 Year", "4-5 Year", "5-6 Year")
 LONG_CONTRACTS, AUTOMATIC = ("One year", "Two year"), "(automatic)"
-SERVICES = ("backup", "protection", "support", "tv", "movies")
+SERVICES = ("phone", "lines", "security", "backup", "protection", "support", "tv", "movies")
 
 
 def _age_features(df: DataFrame) -> DataFrame:
