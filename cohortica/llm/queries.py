@@ -170,7 +170,49 @@ def op7_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
-@query("op13_pivotal_spelling")
+OP13_SQL = r"""
+with recursive t as (
+  select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as tab
+), runs as (
+  select doc_id, run, count(*) as n from (
+    select doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as run
+    from documents) group by doc_id, run
+), hexed as (
+  select run, n, hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || run)) as x from runs where length(run) >= 6
+), hashed as (
+  select run, n, xor(4294967295, list_reduce(
+    list_prepend(cast(4294967295 as bigint), list_transform(range(length(x) // 2), lambda i: cast('0x' || substr(x, cast(2 * i + 1 as bigint), 2) as bigint))),
+    lambda c, b: xor(c >> 8, tab[cast(xor(c, b) & 255 as bigint) + 1]))) as h
+  from hexed, t
+), w as (
+  select word, cast(sum(n) as bigint) as n from (
+    select n, case when h % 199 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word
+    from hashed) where length(word) >= 6 group by word having sum(n) >= 5
+), cut as (
+  select word, i, substr(word, 1, i) || substr(word, i + 2) as rest from (select word, unnest(range(length(word))) as i from w)
+), near as (
+  select a.word, b.word as other from cut a join cut b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select c.word, c.rest from cut c join w on c.rest = w.word
+  union select c.rest, c.word from cut c join w on c.rest = w.word
+), best as (
+  select near.word, other, w.n as form_n, count(*) over (partition by near.word) as n_near,
+    row_number() over (partition by near.word order by w.n desc, other) as r
+  from near join w on near.other = w.word
+), forms as (
+  select w.word, w.n, case when form_n >= 5 * w.n then other end as form, coalesce(n_near, 0) as n_near,
+    case when form_n >= 5 * w.n then form_n end as form_n
+  from w left join best on w.word = best.word and r = 1
+), way as (
+  select word, word as root, form as next from forms
+  union all select way.word, forms.word, forms.form from way join forms on way.next = forms.word
+)
+select forms.word, form, root, n, n_near, form_n from forms join way on forms.word = way.word and way.next is null
+"""
+
+
+@query("op13_pivotal_spelling", OP13_SQL)
 def op13_pivotal_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 

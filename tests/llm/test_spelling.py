@@ -137,3 +137,13 @@ def test_near_words_meet_in_the_index(word, at, letter, kind, rng):
         assert index & probes_2
     if last_2 <= last:
         assert index_2 & probes
+
+
+def test_the_query_equals_its_sql(spark):
+    from compare import compare, connect
+
+    from cohortica.llm.queries import ORACLES, QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    name = "op13_pivotal_spelling"
+    assert compare(QUERIES[name](spark, folder), connect(folder), ORACLES[name]) is None
