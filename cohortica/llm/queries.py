@@ -150,7 +150,36 @@ def op5_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op8_superminhash")
+OP8_SQL = r"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') as words
+  from documents
+), s as (
+  select distinct doc_id, shingle from (select doc_id, unnest(
+    case when len(words) >= 4 then list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i : i + 3], ' '))
+      when len(words) > 0 then [array_to_string(words, ' ')] else [] end) as shingle from w)
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all
+), links as (
+  select a, b from common join n x on a = x.doc_id join n y on b = y.doc_id where 100 * c >= 80 * (x.n + y.n - c)
+), both_ways as (
+  select a, b from links union all select b, a from links
+), reach as (
+  select doc_id as a, doc_id as b from documents
+  union select reach.a, both_ways.b from reach join both_ways on reach.b = both_ways.a
+), least as (
+  select a, min(b) as component_id from reach group by a
+)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d left join n on d.doc_id = n.doc_id join least on d.doc_id = least.a
+"""
+
+
+@query("op8_superminhash", OP8_SQL)
 def op8_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
