@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cohortica.session import CONSTRAINTS, settle
+from cohortica.session import CONSTRAINTS, LEAN, settle
 
 
 def test_a_wide_table_settles(spark):
@@ -19,3 +19,12 @@ def test_a_settled_filter_keeps_the_conditions_derived_for_its_join(spark):
     a = spark.range(10).select(F.when(F.col("id") > 4, F.col("id")).alias("k"))
     b = spark.range(10).select(F.col("id").alias("k"))
     assert sorted(r.k for r in settle(a.join(b, "k")).collect()) == [5, 6, 7, 8, 9]
+
+
+def test_a_lean_table_is_whole_and_gives_the_settings_back(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "777")
+    before = {key: spark.conf.get(key, None) for key in LEAN}
+    counts = settle(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), lean=True)
+    assert sorted(r["count"] for r in counts.collect()) == [142, 143, 143, 143, 143, 143, 143]
+    assert {key: spark.conf.get(key, None) for key in LEAN} == before
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
