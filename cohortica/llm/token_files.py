@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from cohortica.llm.byte_bpe import _pieces
 from cohortica.llm.files import mapped, new_folder, replacing
 from cohortica.llm.words import SPACE
+from cohortica.session import leanly
 
 # The end of a document.
 END_ID = 2
@@ -236,11 +237,12 @@ def write_token_files(
                 pa.schema([("part", pa.int64()), ("docs", pa.int64()), ("tokens", pa.int64())]),
             )
 
-    made = (
-        rows.sortWithinPartitions("id")
-        .mapInArrow(write, "part long, docs long, tokens long")
-        .collect()  # a row per part
-    )
+    with leanly(spark):  # else a batch holds so many texts that its copies outweigh the encoder
+        made = (
+            rows.sortWithinPartitions("id")
+            .mapInArrow(write, "part long, docs long, tokens long")
+            .collect()  # a row per part
+        )
     from tokenizers import Tokenizer
 
     size = Tokenizer.from_file(tokenizer).get_vocab_size()

@@ -78,3 +78,17 @@ def test_many_texts_at_a_time():
     ids, at = tf.encoder(PATH).encode_texts(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw])))
     got = [np.frombuffer(ids[x:y], "<u2").tolist() for x, y in zip(at, at[1:], strict=False)]
     assert got == [WHOLE.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_texts_come_to_the_encoder_few_at_a_time(spark, monkeypatch):
+    whole = tf._pieces
+
+    def few(texts, size):
+        assert len(texts) <= 1000
+        return whole(texts, size)
+
+    monkeypatch.setattr(tf, "_pieces", few)
+    rows = [(k, f"word {k}", "en", "a", 0) for k in range(3000)]
+    files = tf.write_token_files(docs_table(spark, rows), PATH, new_folder(spark, "test"), parts=1)
+    assert [n for _, n, _ in files.parts] == [3000]
+    assert sorted(map(tuple, tf.read_token_files(spark, files).collect())) == expected(rows)
