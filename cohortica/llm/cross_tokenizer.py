@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 
 from cohortica.llm.byte_bpe import SPLIT, _pieces, gathered, joined, packed
 from cohortica.llm.files import mapped, new_folder, replacing
-from cohortica.session import settle
+from cohortica.session import leanly, settle
 
 # Bytes of text taken at a time, whose alignments are shared; a longer text is taken alone and whole.
 PIECE_BYTES = 2 << 20
 # Counts in one file, and files that a worker keeps open.
 FILE_ROWS = 4_000_000
 OPEN_FILES = 8
+# Links whose counts are looked up at a time; a text with more is taken alone and whole.
+LOOKED_UP = 500_000
 _aligners: dict[tuple[str, str], Aligner] = {}
 
 
@@ -332,7 +334,8 @@ def with_counts(rows: DataFrame, files: CountFiles) -> DataFrame:
         import pyarrow as pa
 
         opened: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
+
+        def sums(batch: pa.RecordBatch) -> pa.RecordBatch:
             links, times = (batch.column(c) for c in ("links", "times"))
             sizes = links.value_lengths().to_numpy(zero_copy_only=False)
             text = np.repeat(np.arange(batch.num_rows), sizes)
@@ -351,7 +354,15 @@ def with_counts(rows: DataFrame, files: CountFiles) -> DataFrame:
             n_best, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             np.add.at(n_best, text, np.where(counts > 0, times, 0))
             np.add.at(total, text, times * np.abs(counts))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], pa.array(n_best), pa.array(total)], [*others, "n_best", "count_sum"])
+            return pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], pa.array(n_best), pa.array(total)], [*others, "n_best", "count_sum"])
+
+        for batch in batches:
+            bounds = np.append(0, np.cumsum(batch.column("links").value_lengths().to_numpy(zero_copy_only=False)))
+            a = 0
+            while a < batch.num_rows:
+                b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + LOOKED_UP, "right")) - 1)
+                yield sums(batch.slice(a, b - a))
+                a = b
 
     return rows.mapInArrow(run, schema)
 
@@ -361,17 +372,18 @@ def aligned_table(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_
     ``align_documents``); the checksum of a text without tokens is empty.
 
     Texts are tokenized once: their links are written to the shared folder, counted there, and read
-    again with the counts.
+    again with the counts. Both passes take few rows to Python at a time: the links of a text outweigh it.
     """
     import sentencepiece
 
     spark = docs.sparkSession
     folder = new_folder(spark, "alignments")
     digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
-    align_documents(docs, path_a, path_b, id_col, text_col).select(
-        "doc_id", "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"), "links", "times"
-    ).write.option("compression", "zstd").parquet(f"{folder}/links")
+    with leanly(spark):
+        align_documents(docs, path_a, path_b, id_col, text_col).select(
+            "doc_id", "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"), "links", "times"
+        ).write.option("compression", "zstd").parquet(f"{folder}/links")
     rows = spark.read.parquet(f"{folder}/links")
     size_b = sentencepiece.SentencePieceProcessor(model_file=path_b).get_piece_size()
     counts = settle(link_counts(rows, size_b))
-    return with_counts(rows, write_counts(counts, f"{folder}/counts"))
+    return settle(with_counts(rows, write_counts(counts, f"{folder}/counts")), lean=True)

@@ -121,6 +121,36 @@ def test_counts_in_many_files(spark, monkeypatch):
     assert got == {r[0]: (r[6], r[7]) for r in expected(rows)}
 
 
+def test_links_are_counted_few_at_a_time(spark, monkeypatch):
+    whole, repeat = ct._pieces, np.repeat
+
+    def few(texts, size):
+        assert len(texts) <= 1000
+        return whole(texts, size)
+
+    def texts_of(values, counts):
+        assert counts.sum() <= max(50, counts.max() if len(counts) == 1 else 0)
+        return repeat(values, counts)
+
+    class Numpy:
+        def __getattr__(self, name):
+            return texts_of if name == "repeat" else getattr(np, name)
+
+    rows = [(k, f"word {k}", "en", "a", 0) for k in range(1500)] + [(2000 + k, prose(k, 60 * k), "en", "a", 0) for k in range(4)]
+    table = ct.align_documents(docs_table(spark, rows).coalesce(1), A, B)
+    files = ct.write_counts(ct.link_counts(table, PIECES.get_piece_size()), new_folder(spark, "test"))
+    with monkeypatch.context() as m:
+        m.setattr(ct, "LOOKED_UP", 50)
+        m.setattr(ct, "np", Numpy())
+        got = {r.doc_id: (r.n_best, r.count_sum) for r in ct.with_counts(table, files).collect()}
+    want = expected(rows)
+    assert got == {r[0]: (r[6], r[7]) for r in want}
+    monkeypatch.setattr(ct, "_pieces", few)
+    made = ct.aligned_table(docs_table(spark, rows).coalesce(1), A, B)
+    assert rows_of(made) == want
+    assert "MapInArrow" not in made._jdf.queryExecution().executedPlan().toString()  # settled, few rows at a time
+
+
 def test_empty_table_and_other_tokenizers(spark):
     assert ct.aligned_table(docs_table(spark, []), A, B).collect() == []
     with pytest.raises(ValueError):
