@@ -171,6 +171,15 @@ def encoder(path: str) -> ChunkEncoder:
     return _encoders[path]
 
 
+def forget() -> None:
+    """Drop a worker's encoders and the memory that Arrow holds on to; an idle worker would keep both
+    beside whatever its executor does next."""
+    import pyarrow as pa
+
+    _encoders.clear()
+    pa.default_memory_pool().release_unused()
+
+
 @dataclass(frozen=True)
 class TokenFiles:
     """A written data set: its folder, the integer type of the ids, and rows and tokens of each part."""
@@ -255,13 +264,15 @@ def write_token_files(
 
 
 def _over_parts(spark: SparkSession, files: TokenFiles, work: Callable, schema: str) -> DataFrame:
-    """Run ``work(part, base)``, which yields record batches, in a task for each part."""
+    """Run ``work(part, base)``, which yields record batches, in a task for each part. All texts are
+    encoded by then; idle workers take turns, so these tasks reach those that did it."""
     parts = [(p, base) for p, _, base in files.bases()]
     if not parts:
         return spark.createDataFrame([], schema)
     table = spark.sparkContext.parallelize(parts, len(parts)).toDF("part long, base long")
 
     def run(batches: Iterator) -> Iterator:
+        forget()
         for batch in batches:
             for row in batch.to_pylist():
                 yield from work(row["part"], row["base"])

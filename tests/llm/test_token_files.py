@@ -92,3 +92,17 @@ def test_texts_come_to_the_encoder_few_at_a_time(spark, monkeypatch):
     files = tf.write_token_files(docs_table(spark, rows), PATH, new_folder(spark, "test"), parts=1)
     assert [n for _, n, _ in files.parts] == [3000]
     assert sorted(map(tuple, tf.read_token_files(spark, files).collect())) == expected(rows)
+
+
+def test_idle_workers_keep_no_encoder(spark):
+    def left(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(tf._encoders)]})
+
+    rows = [(k, f"word {k}", "en", "a", 0) for k in range(400)]
+    files = tf.write_token_files(docs_table(spark, rows), PATH, new_folder(spark, "test"), parts=40)
+    assert sorted(map(tuple, tf.read_token_files(spark, files).collect())) == expected(rows)
+    found = spark.range(0, 40, numPartitions=40).mapInArrow(left, "n long").collect()
+    assert len(found) == 40 and not any(r.n for r in found)
