@@ -10,10 +10,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortica.session import parallelism
+
 # A prime a little above a million: the number of distinct places a key can hash to.
 PLACES = 1_000_003
 # Forests grow until leaves are pure; this is the deepest that Spark can grow a tree.
 DEEPEST = 30
+# Rows that a task trains on. A level of a tree is a pass over all rows, so it is work and not bytes that counts.
+ROWS_A_TASK = 20_000
 
 
 def is_test_row(key: str, test: float = 0.3, seed: int = 17) -> Column:
@@ -33,7 +37,14 @@ def split(
     return df.where(~chosen), df.where(chosen)
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """Rows dealt to as many tasks as they are worth; up to ROWS_A_TASK stay as they are."""
+    tasks = parallelism(train.sparkSession, -(-train.count() // ROWS_A_TASK))
+    return train.repartition(tasks) if tasks > 1 else train
+
+
 def _fit(classifier, train: DataFrame, feats: Sequence[str]) -> PipelineModel:
+    train = spread(train)
     assembler = VectorAssembler(inputCols=list(feats), outputCol="features")
     return Pipeline(stages=[assembler, classifier]).fit(train)
 
@@ -47,10 +58,10 @@ def fit_forest(
     seed: int = 42,
 ) -> PipelineModel:
     """Random forest; features and label must have no nulls. Trees are grown out unless ``depth`` stops
-    them sooner."""
+    them sooner; the node that a row has reached in each tree is kept, not walked to again at each level."""
     return _fit(
         RandomForestClassifier(
-            featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed
+            featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True
         ),
         train,
         feats,

@@ -31,6 +31,7 @@ from cohortica.operators.model import (
     predict,
     scorecard,
     split,
+    spread,
 )
 from cohortica.operators.outliers import clip_outliers, outlier_thresholds
 from cohortica.operators.profile import grab_col_names, numeric_columns, string_columns
@@ -222,7 +223,7 @@ def judge(
 ) -> DataFrame:
     """Scores of ``fitted_table`` on the rows it was not fitted on."""
     model, _, test = fitted_table(df, key, target, trees, seed, boosted)
-    return scorecard(predict(model, test), target)
+    return scorecard(predict(model, spread(test)), target)
 
 
 def table_importances(

@@ -369,6 +369,20 @@ def test_models_learn(spark):
         assert model.classification_metrics(scored).first()["accuracy"] > 0.95
 
 
+def test_training_rows_are_dealt_to_tasks(spark, monkeypatch):
+    rows = [(float(i % 10), float(i % 7), int(i % 10 > 4)) for i in range(400)]
+    train = spark.createDataFrame(rows, "a double, b double, y int").coalesce(1)
+    assert model.spread(train).rdd.getNumPartitions() == 1  # few rows stay as they are
+    monkeypatch.setattr(model, "ROWS_A_TASK", 150)
+    dealt = model.spread(train)
+    assert dealt.rdd.getNumPartitions() == 3 and sorted(dealt.collect()) == sorted(train.collect())
+    used = []
+    monkeypatch.setattr(model, "spread", lambda df: used.append(df) or dealt)
+    forest = model.fit_forest(train, ["a", "b"], "y", trees=10)
+    assert used == [train] and forest.stages[-1].getCacheNodeIds()
+    assert model.classification_metrics(model.predict(forest, train), "y").first()["accuracy"] == 1.0
+
+
 def test_feature_table_is_scaled(spark):
     rng = np.random.default_rng(8)
     rows = [
